@@ -159,6 +159,10 @@ def title_of(col: Column | str) -> Column:
 # Noise patterns of the sentiment tokenizer (F12): web addresses and @names.
 URL_PATTERN = r"http[s]?://(?:[a-zA-Z]|[0-9]|[$-_@.&+#]|[!*\(\),]|(?:%[0-9a-fA-F][0-9a-fA-F]))+"
 MENTION_PATTERN = r"(@[A-Za-z0-9_]+)"
+# The word tokenizer cuts contractions off as tokens of their own.
+NEGATION_PATTERN = r"n't\b"
+CLITIC_PATTERN = r"(\p{L})'(s|re|ve|ll|d|m)\b"
+NON_TOKEN = r"[^\p{L}\p{N}']+"
 
 
 def sentiment_tokens(col: Column | str, stop_words: Sequence[str] = ()) -> Column:
@@ -171,10 +175,9 @@ def sentiment_tokens(col: Column | str, stop_words: Sequence[str] = ()) -> Colum
     c = F.regexp_replace(c, URL_PATTERN, " ")
     c = F.regexp_replace(c, MENTION_PATTERN, " ")
     c = F.lower(c)
-    # the word tokenizer cuts contractions off as tokens of their own
-    c = F.regexp_replace(c, r"n't\b", " n't")
-    c = F.regexp_replace(c, r"(\p{L})'(s|re|ve|ll|d|m)\b", "$1 '$2")
-    c = F.regexp_replace(c, r"[^\p{L}\p{N}']+", " ")
+    c = F.regexp_replace(c, NEGATION_PATTERN, " n't")
+    c = F.regexp_replace(c, CLITIC_PATTERN, "$1 '$2")
+    c = F.regexp_replace(c, NON_TOKEN, " ")
     toks = F.filter(F.split(F.trim(c), " "), lambda x: x != "")
     banned = sorted(set(stop_words) | set(PUNCTUATION))
     return F.filter(toks, lambda x: ~x.isin(banned))

@@ -42,7 +42,7 @@ def top_n_per_group(counts: DataFrame, group_cols: Sequence[str], n: int,
     w = Window.partitionBy(*group_cols).orderBy(*order)
     return (counts.withColumn("_rn", F.row_number().over(w))
             .filter(F.col("_rn") <= n)
-            .withColumn(rank_col, F.col("_rn") - 1)
+            .withColumn(rank_col, (F.col("_rn") - 1).cast("long"))
             .drop("_rn"))
 
 

@@ -95,3 +95,23 @@ def corpus_sql(max_chars: int | None = None, languages: Sequence[str] = ("en",),
     extra = f", {extra_cols}" if extra_cols else ""
     return (f"SELECT doc_id, source, lang, text{extra}, {tokens_sql('text')} AS tokens "
             f"FROM {dedup_sql()} WHERE {band}{lang}")
+
+
+def sentiment_tokens_sql(expr: str, stop_words: Sequence[str] = ()) -> str:
+    """SQL of ``functions.text.sentiment_tokens``."""
+    from textmill.functions.text import (
+        CLITIC_PATTERN,
+        MENTION_PATTERN,
+        NEGATION_PATTERN,
+        NON_TOKEN,
+        URL_PATTERN,
+    )
+
+    c = f"regexp_replace({expr}, {lit(URL_PATTERN)}, ' ', 'g')"
+    c = f"regexp_replace({c}, {lit(MENTION_PATTERN)}, ' ', 'g')"
+    c = lower_sql(c)
+    c = f"regexp_replace({c}, {lit(NEGATION_PATTERN)}, {lit(" n't")}, 'g')"
+    c = f"regexp_replace({c}, {lit(CLITIC_PATTERN)}, {lit(r"\1 '\2")}, 'g')"
+    c = f"regexp_replace({c}, {lit(NON_TOKEN)}, ' ', 'g')"
+    return (f"list_filter(string_split(trim({c}), ' '), lambda x: x <> '' AND "
+            f"NOT list_contains({banned_list(stop_words)}, x))")
