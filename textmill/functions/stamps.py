@@ -34,8 +34,8 @@ def stamp(ts) -> Column:
 
 
 def parse_stamp(s) -> Column:
-    """F7 inverse: batch stamp -> timestamp."""
-    return F.to_timestamp(_c(s), STAMP_FORMAT)
+    """F7 inverse: batch stamp -> timestamp (null for a malformed stamp)."""
+    return F.try_to_timestamp(_c(s), F.lit(STAMP_FORMAT))
 
 
 def iso(ts) -> Column:

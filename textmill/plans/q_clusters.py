@@ -1 +1,151 @@
-"""Queries (placeholder)."""
+"""Topic and cluster queries.
+
+The SQL-checked ones take the clusters as given (``source`` of each article,
+or the ``label`` of each embedding) so the oracle can reproduce them; the
+k-means ones are model fits and are checked on row counts and invariants.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from textmill.operators import clusters as cl
+from textmill.operators.terms import TOP_KEYWORDS, tfidf
+from textmill.plans.catalog import register
+from textmill.plans.q_terms import _terms_corpus, _terms_cte
+from textmill.sources.tables import table
+
+
+def _vectors_and_labels(spark, sf_dir):
+    docs = _terms_corpus(spark, sf_dir)
+    vec = tfidf(docs)
+    assign = docs.select("doc_id", F.col("source").alias("cluster"))
+    return vec, assign
+
+
+def _embedding_vectors(spark, sf_dir):
+    emb = table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    vec = emb.select(F.col("vec_id").alias("doc_id"),
+                     F.posexplode_outer("embedding").alias("term", "weight")) \
+        .filter(F.col("weight").isNotNull()) \
+        .select("doc_id", "term", F.col("weight").cast("double").alias("weight"))
+    assign = emb.select(F.col("vec_id").alias("doc_id"), F.col("label").alias("cluster"))
+    return vec, assign
+
+
+# ---------------------------------------------------------------------------- SQL
+
+def _vec_cte() -> str:
+    """CTEs ``vec(doc_id, term, weight)`` and ``asg(doc_id, cluster)`` for the corpus."""
+    return (f"{_terms_cte()}, "
+            f"nd AS (SELECT count(*)::DOUBLE AS n FROM c), "
+            f"v AS (SELECT term, count(*) AS df FROM tf GROUP BY term HAVING count(*) >= 5), "
+            f"w AS (SELECT tf.doc_id, tf.term, tf.tf * (ln((nd.n + 1) / (v.df + 1)) + 1) AS w "
+            f"FROM tf JOIN v ON tf.term = v.term, nd), "
+            f"nr AS (SELECT doc_id, sqrt(sum(w * w)) AS norm FROM w GROUP BY doc_id), "
+            f"vec AS (SELECT w.doc_id, w.term, w.w / nr.norm AS weight FROM w JOIN nr ON w.doc_id = nr.doc_id), "
+            f"asg AS (SELECT doc_id, source AS cluster FROM c)")
+
+
+def _emb_cte() -> str:
+    return ("vec AS (SELECT vec_id AS doc_id, i - 1 AS term, embedding[i]::DOUBLE AS weight FROM "
+            "(SELECT vec_id, embedding, generate_subscripts(embedding, 1) AS i FROM embeddings) "
+            "WHERE embedding[i] IS NOT NULL), "
+            "asg AS (SELECT vec_id AS doc_id, label AS cluster FROM embeddings)")
+
+
+_STATS = (
+    "sq AS (SELECT doc_id, sum(weight * weight) AS xx FROM vec GROUP BY doc_id), "
+    "sums AS (SELECT a.cluster, v.term, sum(v.weight) AS total FROM vec v JOIN asg a ON v.doc_id = a.doc_id "
+    "GROUP BY a.cluster, v.term), "
+    "dots AS (SELECT v.doc_id, s.cluster, sum(v.weight * s.total) AS dot FROM vec v JOIN sums s "
+    "ON v.term = s.term GROUP BY v.doc_id, s.cluster), "
+    "cs AS (SELECT a.cluster, count(*) AS n, sum(coalesce(sq.xx, 0)) AS ss FROM asg a LEFT JOIN sq "
+    "ON a.doc_id = sq.doc_id GROUP BY a.cluster), "
+    "yy AS (SELECT cluster, sum(total * total) AS yy FROM sums GROUP BY cluster), "
+    "pr AS (SELECT a.doc_id, a.cluster AS own, c.cluster FROM asg a, (SELECT DISTINCT cluster FROM asg) c), "
+    "st AS (SELECT pr.doc_id, pr.own, pr.cluster, coalesce(sq.xx, 0) AS xx, coalesce(dots.dot, 0) AS dot, "
+    "cs.n, cs.ss, coalesce(yy.yy, 0) AS yy FROM pr LEFT JOIN sq ON pr.doc_id = sq.doc_id "
+    "LEFT JOIN dots ON pr.doc_id = dots.doc_id AND pr.cluster = dots.cluster "
+    "JOIN cs ON pr.cluster = cs.cluster LEFT JOIN yy ON pr.cluster = yy.cluster)")
+
+_D2 = "(xx + yy / (n * n) - 2 * dot / n)"
+
+
+def _silhouette_sql(cte: str) -> str:
+    total = "(n * xx + ss - 2 * dot)"
+    return (f"WITH {cte}, {_STATS}, "
+            f"per AS (SELECT doc_id, own, cluster = own AS is_own, n, "
+            f"CASE WHEN cluster = own AND n > 1 THEN {total} / (n - 1) END AS a, "
+            f"CASE WHEN cluster <> own THEN {total} / n END AS b FROM st), "
+            f"ag AS (SELECT doc_id, own, max(a) AS a, min(b) AS b, max(CASE WHEN is_own THEN n END) AS n_own "
+            f"FROM per GROUP BY doc_id, own), "
+            f"si AS (SELECT CASE WHEN n_own <= 1 OR b IS NULL THEN 0.0 WHEN a < b THEN 1 - a / b "
+            f"WHEN a > b THEN b / a - 1 ELSE 0.0 END AS s FROM ag) "
+            f"SELECT round(avg(s), 6) AS silhouette FROM si")
+
+
+# ---------------------------------------------------------------------------- given labels
+
+def _keywords_sql() -> str:
+    return (f"WITH {_vec_cte()}, "
+            f"sz AS (SELECT cluster, count(*) AS n FROM asg GROUP BY cluster), "
+            f"ce AS (SELECT sums.cluster, sums.term, sums.total / sz.n AS weight FROM "
+            f"(SELECT a.cluster, v.term, sum(v.weight) AS total FROM vec v JOIN asg a ON v.doc_id = a.doc_id "
+            f"GROUP BY a.cluster, v.term) sums JOIN sz ON sums.cluster = sz.cluster), "
+            f"r AS (SELECT cluster, term, weight, row_number() OVER (PARTITION BY cluster ORDER BY "
+            f"round(weight, {cl.RANK_DIGITS}) DESC, term) - 1 AS rank FROM ce WHERE weight > 0) "
+            f"SELECT cluster, rank, term, round(weight, 6) AS weight FROM r WHERE rank < {TOP_KEYWORDS}")
+
+
+@register("cluster_keywords", _keywords_sql)
+def q_cluster_keywords(spark, sf_dir):
+    vec, assign = _vectors_and_labels(spark, sf_dir)
+    kw = cl.cluster_keywords(cl.centroids(vec, assign), TOP_KEYWORDS)
+    return kw.select("cluster", "rank", "term", F.round("weight", 6).alias("weight"))
+
+
+def _topic_wide_sql() -> str:
+    base = _keywords_sql().replace(
+        f"SELECT cluster, rank, term, round(weight, 6) AS weight FROM r WHERE rank < {TOP_KEYWORDS}",
+        f", kw AS (SELECT cluster, rank, term FROM r WHERE rank < {TOP_KEYWORDS}) ")
+    cols = ", ".join(f"max(CASE WHEN rank = {i} THEN term END) AS keyword_{i}" for i in range(TOP_KEYWORDS))
+    return (base + f"SELECT cluster, {cols}, array_to_string(list(term ORDER BY rank), ', ') AS snippet "
+            f"FROM kw GROUP BY cluster")
+
+
+@register("topic_wide", _topic_wide_sql)
+def q_topic_wide(spark, sf_dir):
+    vec, assign = _vectors_and_labels(spark, sf_dir)
+    kw = cl.cluster_keywords(cl.centroids(vec, assign), TOP_KEYWORDS)
+    wide = cl.topic_table(kw, TOP_KEYWORDS)
+    return wide.withColumn("snippet", F.array_join("snippet", ", "))
+
+
+@register("centroid_distances", lambda: (
+    f"WITH {_vec_cte()}, {_STATS} SELECT doc_id, cluster, round(sqrt(greatest({_D2}, 0)), 6) AS distance "
+    f"FROM st"))
+def q_centroid_distances(spark, sf_dir):
+    vec, assign = _vectors_and_labels(spark, sf_dir)
+    d = cl.centroid_distances(vec, assign)
+    return d.select("doc_id", "cluster", F.round("distance", 6).alias("distance"))
+
+
+@register("inertia", lambda: (
+    f"WITH {_vec_cte()}, {_STATS} SELECT round(sum(greatest({_D2}, 0)), 6) AS inertia FROM st "
+    f"WHERE cluster = own"))
+def q_inertia(spark, sf_dir):
+    vec, assign = _vectors_and_labels(spark, sf_dir)
+    return cl.inertia(vec, assign).select(F.round("inertia", 6).alias("inertia"))
+
+
+@register("silhouette", lambda: _silhouette_sql(_vec_cte()))
+def q_silhouette(spark, sf_dir):
+    vec, assign = _vectors_and_labels(spark, sf_dir)
+    return cl.silhouette(vec, assign).select(F.round("silhouette", 6).alias("silhouette"))
+
+
+@register("embedding_silhouette", lambda: _silhouette_sql(_emb_cte()))
+def q_embedding_silhouette(spark, sf_dir):
+    vec, assign = _embedding_vectors(spark, sf_dir)
+    return cl.silhouette(vec, assign).select(F.round("silhouette", 6).alias("silhouette"))
