@@ -149,3 +149,75 @@ def q_silhouette(spark, sf_dir):
 def q_embedding_silhouette(spark, sf_dir):
     vec, assign = _embedding_vectors(spark, sf_dir)
     return cl.silhouette(vec, assign).select(F.round("silhouette", 6).alias("silhouette"))
+
+
+# ---------------------------------------------------------------------------- k-means (rows only)
+
+def _features(spark, sf_dir):
+    from pyspark import StorageLevel
+
+    from textmill.operators.kmeans import tfidf_features
+
+    docs = _terms_corpus(spark, sf_dir)
+    feats, vocab = tfidf_features(docs)
+    return feats.persist(StorageLevel.MEMORY_AND_DISK), vocab
+
+
+def _fit(spark, sf_dir, k=None):
+    from textmill.operators.kmeans import NUM_CLUSTERS, assign_clusters, fit_kmeans
+
+    feats, _ = _features(spark, sf_dir)
+    n = feats.count()
+    model = fit_kmeans(feats, min(k or NUM_CLUSTERS, max(n - 1, 1)))
+    return feats, model, assign_clusters(model, feats)
+
+
+@register("kmeans_sizes")
+def q_kmeans_sizes(spark, sf_dir):
+    """M1 + M2: documents per k-means cluster (k = 60, seed 42)."""
+    _feats, _model, assign = _fit(spark, sf_dir)
+    return cl.cluster_sizes(assign)
+
+
+@register("k_sweep")
+def q_k_sweep(spark, sf_dir):
+    """M4: silhouette and inertia for k = 2..79 on one persisted vector frame."""
+    from textmill.operators.kmeans import k_sweep
+
+    feats, _ = _features(spark, sf_dir)
+    rows = k_sweep(feats)
+    return spark.createDataFrame(rows, "k int, silhouette double, inertia double")
+
+
+@register("best_k")
+def q_best_k(spark, sf_dir):
+    """M5: k with the best silhouette (60 when none is positive)."""
+    from textmill.operators.kmeans import best_k
+
+    return best_k(q_k_sweep(spark, sf_dir))
+
+
+@register("kmeans_topics")
+def q_kmeans_topics(spark, sf_dir):
+    """M6 on the k-means assignment: keywords of each cluster mean."""
+    docs = _terms_corpus(spark, sf_dir)
+    _feats, _model, assign = _fit(spark, sf_dir)
+    kw = cl.cluster_keywords(cl.centroids(tfidf(docs), assign), TOP_KEYWORDS)
+    return cl.topic_table(kw, TOP_KEYWORDS).withColumn("snippet", F.array_join("snippet", ", "))
+
+
+@register("article_points")
+def q_article_points(spark, sf_dir):
+    """M3 + M7 + M8: distance matrix -> 2-D projection -> point table."""
+    from textmill.operators.layout import distance_vectors, point_table, project_2d
+    from textmill.plans.corpus import article_corpus
+
+    docs = _terms_corpus(spark, sf_dir)
+    vec = tfidf(docs)
+    _feats, _model, assign = _fit(spark, sf_dir)
+    dists = cl.centroid_distances(vec, assign)
+    xy = project_2d(distance_vectors(dists))
+    kw = cl.cluster_keywords(cl.centroids(vec, assign), TOP_KEYWORDS)
+    topics = cl.topic_table(kw, TOP_KEYWORDS).withColumn("snippet", F.array_join("snippet", ", "))
+    arts = article_corpus(spark, sf_dir).select("doc_id", F.col("description").alias("headline"), "category")
+    return point_table(xy, assign, arts, topics)

@@ -1 +1,60 @@
-"""Queries (placeholder)."""
+"""Queries over raw pages and language identification."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from textmill.functions.stamps import absolute_url
+from textmill.operators import html
+from textmill.operators.language import UNDETECTED, WORD_SPLIT, detect_language
+from textmill.operators.filters import not_blocked
+from textmill.plans.catalog import register
+from textmill.plans.sqltext import lit, lower_sql
+from textmill.sources.stopwords import language_profiles
+from textmill.sources.tables import table
+
+
+@register("page_text")
+def q_page_text(spark, sf_dir):
+    """H1 + H2 + P7: visible text of every fetched page whose host is not blocked."""
+    pages = not_blocked(table(spark, sf_dir, "pages", "page_id", "url", "html"), "url")
+    return html.page_text(pages)
+
+
+@register("listing_articles")
+def q_listing_articles(spark, sf_dir):
+    """H3: listed articles (headline, time, source, link) of every page."""
+    return html.listing_articles(table(spark, sf_dir, "pages", "page_id", "html"))
+
+
+@register("page_links")
+def q_page_links(spark, sf_dir):
+    """H4 building block: every link of every page."""
+    return html.page_links(table(spark, sf_dir, "pages", "page_id", "html"))
+
+
+@register("category_urls")
+def q_category_urls(spark, sf_dir):
+    """H4: per page, the first link labelled with each section category."""
+    links = html.page_links(table(spark, sf_dir, "pages", "page_id", "html"))
+    tagged = links.filter(F.col("aria_label").isin(html.CATEGORIES) & F.col("href").isNotNull())
+    first = tagged.groupBy("page_id", F.col("aria_label").alias("category")).agg(F.first("href").alias("href"))
+    return first.select("page_id", "category", absolute_url("href").alias("url"))
+
+
+def _language_sql() -> str:
+    prof = ", ".join(f"({lit(la)}, {lit(w)})" for la, w in language_profiles())
+    return (f"WITH w AS (SELECT doc_id, unnest(string_split_regex({lower_sql('text')}, {lit(WORD_SPLIT)})) "
+            f"AS word FROM documents), "
+            f"p AS (SELECT * FROM (VALUES {prof}) p(lang, word)), "
+            f"h AS (SELECT w.doc_id, p.lang, count(*) AS n FROM w JOIN p ON w.word = p.word GROUP BY 1, 2), "
+            f"r AS (SELECT doc_id, lang, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, lang) AS rn "
+            f"FROM h) "
+            f"SELECT d.doc_id, coalesce(r.lang, '{UNDETECTED}') AS language FROM documents d "
+            f"LEFT JOIN r ON d.doc_id = r.doc_id AND r.rn = 1")
+
+
+@register("detect_language", _language_sql)
+def q_detect_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return detect_language(docs, "text", "doc_id", "language")
