@@ -38,6 +38,7 @@ def _load_all() -> None:
         q_clusters,
         q_scalars,
         q_sentiment,
+        q_streams,
         q_terms,
         q_web,
     )
