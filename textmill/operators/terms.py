@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from textmill.session import materialize
 from textmill.sources.stopwords import spark_stop_words
 
 # Defaults of the topic job's vectorizer.
@@ -92,7 +93,7 @@ def document_frequency(tf: DataFrame, min_df: int = MIN_DF) -> DataFrame:
 
 
 def tfidf(docs: DataFrame, doc_col: str = "doc_id", terms_col: str = "terms",
-          min_df: int = MIN_DF) -> DataFrame:
+          min_df: int = MIN_DF, reuse_input: bool = True) -> DataFrame:
     """A3: L2-normalised TF-IDF, smooth idf, long form ``doc_col, term, weight``.
 
     idf = ln((1 + n) / (1 + df)) + 1 with n the number of documents (also the
@@ -100,7 +101,13 @@ def tfidf(docs: DataFrame, doc_col: str = "doc_id", terms_col: str = "terms",
     once and inlined, not a join.  Both joins are equi-joins on a key that is
     unique on one side; AQE turns them into broadcasts when that side proves
     small at run time and splits skewed keys otherwise.
+
+    The term counts feed four branches (df, weights, norms, document count);
+    with ``reuse_input`` they are materialised once (``session.materialize``)
+    instead of re-running the text pipeline per branch.
     """
+    if reuse_input:
+        docs = materialize(docs.select(doc_col, terms_col))
     n_docs = docs.select(F.count(F.lit(1)).cast("double")).scalar()
     tf = term_frequencies(docs, doc_col, terms_col)
     idf = (document_frequency(tf, min_df)

@@ -114,3 +114,16 @@ def _scan_partitions(df: DataFrame) -> int:
     if key not in _SCAN_PARTITIONS:
         _SCAN_PARTITIONS[key] = df.rdd.getNumPartitions()
     return _SCAN_PARTITIONS[key]
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and cut its lineage (reliable checkpoint).
+
+    Used where a plan reads an expensive intermediate from several branches
+    (e.g. per-document terms feeding tf, df, norms and the document count):
+    the intermediate is written once to the shared checkpoint folder, so
+    the branches read it instead of re-running the text pipeline, and a lost
+    executor costs a re-read, not a recomputation from the raw text.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
