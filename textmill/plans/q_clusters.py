@@ -153,29 +153,36 @@ def q_embedding_silhouette(spark, sf_dir):
 
 # ---------------------------------------------------------------------------- k-means (rows only)
 
-def _features(spark, sf_dir):
-    from pyspark import StorageLevel
+def _model_inputs(spark, sf_dir):
+    """Per-document terms, computed once, and the k-means feature frame."""
+    from textmill.operators.kmeans import kmeans_input, tfidf_features
+    from textmill.session import materialize
 
-    from textmill.operators.kmeans import tfidf_features
-
-    docs = _terms_corpus(spark, sf_dir)
-    feats, vocab = tfidf_features(docs)
-    return feats.persist(StorageLevel.MEMORY_AND_DISK), vocab
+    docs = materialize(_terms_corpus(spark, sf_dir))
+    feats, _ = tfidf_features(docs)
+    n = docs.count()
+    return docs, kmeans_input(feats.select("doc_id", "features"), n), n
 
 
 def _fit(spark, sf_dir, k=None):
     from textmill.operators.kmeans import NUM_CLUSTERS, assign_clusters, fit_kmeans
 
-    feats, _ = _features(spark, sf_dir)
-    n = feats.count()
+    from textmill.session import materialize
+
+    docs, feats, n = _model_inputs(spark, sf_dir)
     model = fit_kmeans(feats, min(k or NUM_CLUSTERS, max(n - 1, 1)))
-    return feats, model, assign_clusters(model, feats)
+    # The assignment feeds sizes, centroids, distances and points; writing it
+    # once keeps the model's prediction (which carries all k dense centres)
+    # out of every later stage.
+    assign = materialize(assign_clusters(model, feats))
+    feats.unpersist()
+    return docs, model, assign
 
 
 @register("kmeans_sizes")
 def q_kmeans_sizes(spark, sf_dir):
     """M1 + M2: documents per k-means cluster (k = 60, seed 42)."""
-    _feats, _model, assign = _fit(spark, sf_dir)
+    _docs, _model, assign = _fit(spark, sf_dir)
     return cl.cluster_sizes(assign)
 
 
@@ -184,7 +191,7 @@ def q_k_sweep(spark, sf_dir):
     """M4: silhouette and inertia for k = 2..79 on one persisted vector frame."""
     from textmill.operators.kmeans import k_sweep
 
-    feats, _ = _features(spark, sf_dir)
+    _docs, feats, _n = _model_inputs(spark, sf_dir)
     rows = k_sweep(feats)
     return spark.createDataFrame(rows, "k int, silhouette double, inertia double")
 
@@ -200,9 +207,8 @@ def q_best_k(spark, sf_dir):
 @register("kmeans_topics")
 def q_kmeans_topics(spark, sf_dir):
     """M6 on the k-means assignment: keywords of each cluster mean."""
-    docs = _terms_corpus(spark, sf_dir)
-    _feats, _model, assign = _fit(spark, sf_dir)
-    kw = cl.cluster_keywords(cl.centroids(tfidf(docs), assign), TOP_KEYWORDS)
+    docs, _model, assign = _fit(spark, sf_dir)
+    kw = cl.cluster_keywords(cl.centroids(tfidf(docs, reuse_input=False), assign), TOP_KEYWORDS)
     return cl.topic_table(kw, TOP_KEYWORDS).withColumn("snippet", F.array_join("snippet", ", "))
 
 
@@ -212,9 +218,8 @@ def q_article_points(spark, sf_dir):
     from textmill.operators.layout import distance_vectors, point_table, project_2d
     from textmill.plans.corpus import article_corpus
 
-    docs = _terms_corpus(spark, sf_dir)
-    vec = tfidf(docs)
-    _feats, _model, assign = _fit(spark, sf_dir)
+    docs, _model, assign = _fit(spark, sf_dir)
+    vec = tfidf(docs, reuse_input=False)
     dists = cl.centroid_distances(vec, assign)
     xy = project_2d(distance_vectors(dists))
     kw = cl.cluster_keywords(cl.centroids(vec, assign), TOP_KEYWORDS)

@@ -8,15 +8,29 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Settings every textmill job relies on.  AQE re-plans joins and coalesces
-# shuffle partitions at run time; skew-join splitting protects the term and
-# token joins, whose keys follow a Zipf distribution.
-SESSION_DEFAULTS = {
+# Runtime SQL settings every textmill job relies on; applied to any session
+# the library is handed (``apply_runtime_defaults``).
+#
+# * AQE re-plans joins and coalesces shuffle partitions at run time; skew-join
+#   splitting protects the term and token joins, whose keys are Zipf-skewed.
+# * No broadcast on *estimated* sizes: after checkpoints and explodes the
+#   planner's estimates can be orders of magnitude too small.  Broadcasts
+#   happen either explicitly, for fixed-size dimensions, or by AQE once a
+#   shuffle stage has *measured* the side below the adaptive threshold.
+# * Timestamps are interpreted in UTC.
+RUNTIME_SQL_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+
+# Settings fixed when the session starts.
+SESSION_DEFAULTS = {
+    **RUNTIME_SQL_DEFAULTS,
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     # Python workers are reused between tasks: the HTML parser and the
@@ -48,6 +62,18 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+_CONFIGURED: set[int] = set()
+
+
+def apply_runtime_defaults(spark: SparkSession) -> None:
+    """Set ``RUNTIME_SQL_DEFAULTS`` on ``spark`` (once per session)."""
+    if id(spark) in _CONFIGURED:
+        return
+    for k, v in RUNTIME_SQL_DEFAULTS.items():
+        spark.conf.set(k, v)
+    _CONFIGURED.add(id(spark))
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
