@@ -87,8 +87,12 @@ def term_frequencies(docs: DataFrame, doc_col: str = "doc_id", terms_col: str =
 
 
 def document_frequency(tf: DataFrame, min_df: int = MIN_DF) -> DataFrame:
-    """A2: ``term, df`` for terms in at least ``min_df`` documents."""
-    return (tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    """A2: ``term, df`` for terms in at least ``min_df`` documents.
+
+    Counts the ``tf`` column (never null) rather than rows, so the input
+    subtree stays identical to the tf branch and its shuffle is reused.
+    """
+    return (tf.groupBy("term").agg(F.count("tf").alias("df"))
             .filter(F.col("df") >= min_df))
 
 
@@ -102,9 +106,11 @@ def tfidf(docs: DataFrame, doc_col: str = "doc_id", terms_col: str = "terms",
     unique on one side; AQE turns them into broadcasts when that side proves
     small at run time and splits skewed keys otherwise.
 
-    The term counts feed four branches (df, weights, norms, document count);
+    The per-document terms feed three branches (tf, df, document count);
     with ``reuse_input`` they are materialised once (``session.materialize``)
-    instead of re-running the text pipeline per branch.
+    instead of re-running the text pipeline per branch.  The row norm is a
+    window sum per document: one shuffle by document, and a window partition
+    never holds more than one document's terms.
     """
     if reuse_input:
         docs = materialize(docs.select(doc_col, terms_col))
@@ -113,9 +119,8 @@ def tfidf(docs: DataFrame, doc_col: str = "doc_id", terms_col: str = "terms",
     idf = (document_frequency(tf, min_df)
            .select("term", (F.log((n_docs + 1) / (F.col("df") + 1)) + 1).alias("idf")))
     w = tf.join(idf, "term").select(doc_col, "term", (F.col("tf") * F.col("idf")).alias("w"))
-    norms = w.groupBy(doc_col).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return (w.join(norms, doc_col)
-            .select(doc_col, "term", (F.col("w") / F.col("norm")).alias("weight")))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(doc_col)))
+    return w.select(doc_col, "term", (F.col("w") / norm).alias("weight"))
 
 
 def vocabulary(docs: DataFrame, doc_col: str = "doc_id", terms_col: str = "terms",
