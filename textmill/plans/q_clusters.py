@@ -17,8 +17,12 @@ from textmill.sources.tables import table
 
 
 def _vectors_and_labels(spark, sf_dir):
-    docs = _terms_corpus(spark, sf_dir)
-    vec = tfidf(docs)
+    from textmill.session import materialize
+
+    # Terms and labels come from one materialised corpus, so the text
+    # pipeline runs once for the vectors and the assignment.
+    docs = materialize(_terms_corpus(spark, sf_dir))
+    vec = tfidf(docs, reuse_input=False)
     assign = docs.select("doc_id", F.col("source").alias("cluster"))
     return vec, assign
 

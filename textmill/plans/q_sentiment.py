@@ -32,9 +32,14 @@ def labelled_docs(spark, sf_dir):
 
 
 def _split(spark, sf_dir):
+    from textmill.session import materialize
+
     lab = labelled_docs(spark, sf_dir)
     tr, te = nb.split_train_test(lab)
-    tr = tr.select("doc_id", "label", sentiment_tokens("text", spark_stop_words("english")).alias("tokens"))
+    # Training tokens feed the model and every label statistic; write them
+    # once instead of re-tokenising per branch.
+    tr = materialize(tr.select("doc_id", "label",
+                               sentiment_tokens("text", spark_stop_words("english")).alias("tokens")))
     te = te.select("doc_id", "label", sentiment_tokens("text").alias("tokens"))
     return tr, te
 
