@@ -125,8 +125,17 @@ def tfidf(docs: DataFrame, doc_col: str = "doc_id", terms_col: str = "terms",
 
 def vocabulary(docs: DataFrame, doc_col: str = "doc_id", terms_col: str = "terms",
                min_df: int = MIN_DF) -> DataFrame:
-    """Terms kept by the vectorizer: ``term, df``."""
-    return document_frequency(term_frequencies(docs, doc_col, terms_col), min_df)
+    """Terms kept by the vectorizer: ``term, df``.
+
+    ``docs`` holds one row per document, so each document's distinct terms
+    (``array_distinct``, in the row) counted per term is the document
+    frequency: one shuffle by term, fed with at most one row per document
+    and term and combined map-side, instead of a (document, term) count
+    followed by a second aggregation.
+    """
+    return (explode_values(docs, F.array_distinct(terms_col), "term")
+            .groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+            .filter(F.col("df") >= min_df))
 
 
 def bigram_words(vocab: DataFrame, term_col: str = "term") -> DataFrame:
