@@ -86,16 +86,6 @@ def term_frequencies(docs: DataFrame, doc_col: str = "doc_id", terms_col: str =
             .agg(F.count(F.lit(1)).alias("tf")))
 
 
-def document_frequency(tf: DataFrame, min_df: int = MIN_DF) -> DataFrame:
-    """A2: ``term, df`` for terms in at least ``min_df`` documents.
-
-    Counts the ``tf`` column (never null) rather than rows, so the input
-    subtree stays identical to the tf branch and its shuffle is reused.
-    """
-    return (tf.groupBy("term").agg(F.count("tf").alias("df"))
-            .filter(F.col("df") >= min_df))
-
-
 def tfidf(docs: DataFrame, doc_col: str = "doc_id", terms_col: str = "terms",
           min_df: int = MIN_DF, reuse_input: bool = True) -> DataFrame:
     """A3: L2-normalised TF-IDF, smooth idf, long form ``doc_col, term, weight``.
@@ -108,15 +98,17 @@ def tfidf(docs: DataFrame, doc_col: str = "doc_id", terms_col: str = "terms",
 
     The per-document terms feed three branches (tf, df, document count);
     with ``reuse_input`` they are materialised once (``session.materialize``)
-    instead of re-running the text pipeline per branch.  The row norm is a
-    window sum per document: one shuffle by document, and a window partition
-    never holds more than one document's terms.
+    instead of re-running the text pipeline per branch.  df comes from each
+    row's distinct terms (``vocabulary``), so the (document, term) pairs are
+    shuffled once, for tf.  The row norm is a window sum per document: one
+    shuffle by document, and a window partition never holds more than one
+    document's terms.
     """
     if reuse_input:
         docs = materialize(docs.select(doc_col, terms_col))
     n_docs = docs.select(F.count(F.lit(1)).cast("double")).scalar()
     tf = term_frequencies(docs, doc_col, terms_col)
-    idf = (document_frequency(tf, min_df)
+    idf = (vocabulary(docs, doc_col, terms_col, min_df)
            .select("term", (F.log((n_docs + 1) / (F.col("df") + 1)) + 1).alias("idf")))
     w = tf.join(idf, "term").select(doc_col, "term", (F.col("tf") * F.col("idf")).alias("w"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(doc_col)))
@@ -133,7 +125,7 @@ def vocabulary(docs: DataFrame, doc_col: str = "doc_id", terms_col: str = "terms
     and term and combined map-side, instead of a (document, term) count
     followed by a second aggregation.
     """
-    return (explode_values(docs, F.array_distinct(terms_col), "term")
+    return (explode_values(docs.select(terms_col), F.array_distinct(terms_col), "term")
             .groupBy("term").agg(F.count(F.lit(1)).alias("df"))
             .filter(F.col("df") >= min_df))
 
