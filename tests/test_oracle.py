@@ -13,7 +13,7 @@ from oracle_harness import compare, duck
 from textmill.plans.catalog import oracle_sql, queries
 
 FAST = ["keywords_by_group", "clean_text", "tfidf", "dedup_keep_first", "day_split_counts", "category_lookup",
-        "chunked_lists", "nb_classify", "nb_informative", "silhouette", "detect_language", "weekly_sliding"]
+        "chunked_lists", "doc_frequency", "nb_classify", "nb_informative", "silhouette", "detect_language", "weekly_sliding"]
 NAMES = sorted(oracle_sql()) if os.environ.get("TEXTMILL_ORACLE_ALL") else FAST
 
 
