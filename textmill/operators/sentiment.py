@@ -56,19 +56,25 @@ def train(docs: DataFrame, tokens_col: str = "tokens",
     return model, label_stats(docs, labels)
 
 
-def _stat(stats: DataFrame, name: str) -> Column:
-    return stats.select(name).scalar()
+def _stat_values(stats: DataFrame) -> dict[str, Column]:
+    """The one ``label_stats`` row as literal columns.
+
+    Read once (one small job) instead of one scalar subquery per statistic,
+    each of which would scan the training documents again.
+    """
+    return {k: F.lit(v) for k, v in stats.first().asDict().items()}
 
 
 def log_likelihoods(model: DataFrame, stats: DataFrame,
-                    labels: Sequence[str] = SENTIMENT_LABELS) -> DataFrame:
+                    labels: Sequence[str] = SENTIMENT_LABELS, values: dict[str, Column] | None = None) -> DataFrame:
     """``token, lp_<label>...``: ln P(t | l) for every known token."""
-    n = _stat(stats, "n")
+    st = values if values is not None else _stat_values(stats)
+    n = st["n"]
     total = sum((F.col(f"c_{lab}") for lab in labels), F.lit(0))
     bins = F.when(total < n, F.lit(2.0)).otherwise(F.lit(1.0))
     cols = []
     for lab in labels:
-        n_l = _stat(stats, f"n_{lab}")
+        n_l = st[f"n_{lab}"]
         p = (F.col(f"c_{lab}") + GAMMA) / (n_l + GAMMA * bins)
         cols.append(F.log(p).alias(f"lp_{lab}"))
     return model.select("token", *cols)
@@ -82,18 +88,19 @@ def classify(docs: DataFrame, model: DataFrame, stats: DataFrame, id_col: str =
     token keep their row through the final left join and score the prior.
     Ties go to the label first in alphabetical order.
     """
-    lp = log_likelihoods(model, stats, labels)
+    st = _stat_values(stats)
+    lp = log_likelihoods(model, stats, labels, st)
     toks = docs.select(id_col, F.explode_outer(F.array_distinct(tokens_col)).alias("token")) \
         .filter(F.col("token").isNotNull())
     sums = (toks.join(lp, "token")
             .groupBy(id_col)
             .agg(*[F.sum(f"lp_{lab}").alias(f"s_{lab}") for lab in labels]))
-    n = _stat(stats, "n")
-    n_labels = _stat(stats, "n_labels")
+    n = st["n"]
+    n_labels = st["n_labels"]
     out = docs.select(id_col).join(sums, id_col, "left")
     scores = []
     for lab in labels:
-        n_l = _stat(stats, f"n_{lab}")
+        n_l = st[f"n_{lab}"]
         prior = F.log((n_l + GAMMA) / (n + GAMMA * n_labels))
         score = F.when(n_l > 0, prior + F.coalesce(F.col(f"s_{lab}"), F.lit(0.0)))
         scores.append(score.alias(f"score_{lab}"))
@@ -117,12 +124,13 @@ def informative_features(model: DataFrame, stats: DataFrame, n: int = 10,
     """Features (token, value) ranked by max/min P(value | l) over the
     labels where that value was observed; value 'True' = token present,
     'None' = token absent."""
-    n_all = _stat(stats, "n")
+    st = _stat_values(stats)
+    n_all = st["n"]
     total = sum((F.col(f"c_{lab}") for lab in labels), F.lit(0))
     bins = F.when(total < n_all, F.lit(2.0)).otherwise(F.lit(1.0))
     present, absent = [], []
     for lab in labels:
-        n_l = _stat(stats, f"n_{lab}")
+        n_l = st[f"n_{lab}"]
         c = F.col(f"c_{lab}")
         denom = n_l + GAMMA * bins
         present.append(F.when(c > 0, (c + GAMMA) / denom))
