@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,30 +76,43 @@ def apply_runtime_defaults(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (tests, a laptop) do we create a local one.
+    The cluster names it in ``spark.checkpoint.dir``.  Only where that is
+    unset (tests, a laptop) a sub-folder of the warehouse, which executors
+    share as well, is used; never a machine-local temporary folder.
     """
-    sc = spark.sparkContext
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if configured:
-        current = sc.getCheckpointDir()
-        if not current:
-            sc.setCheckpointDir(configured)
-        return configured
-    current = sc.getCheckpointDir()
-    if current:
-        return current.replace("file:", "", 1) if current.startswith("file:") else current
-    local = tempfile.mkdtemp(prefix="textmill-ckpt-")
-    sc.setCheckpointDir(local)
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    folder = configured or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the checkpoint folder for a written table."""
-    base = checkpoint_dir(spark)
-    import uuid
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh folder for a written table, below this application's part of the
+    shared folder (``drop_scratch`` removes that part)."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/textmill-{spark.sparkContext.applicationId}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete every intermediate table of this application.  Call it when no
+    frame returned by a query is read any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def written(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` as parquet into the shared folder and read it back.
+
+    Cuts the lineage: a lost executor costs a re-read, and later branches get
+    column pruning and statistics from parquet.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
@@ -143,14 +155,10 @@ def _scan_partitions(df: DataFrame) -> int:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and cut its lineage (reliable checkpoint).
+    """Compute ``df`` once and cut its lineage (see ``written``).
 
     Used where a plan reads an expensive intermediate from several branches
     (e.g. per-document terms feeding tf, df, norms and the document count):
-    the intermediate is written once to the shared checkpoint folder, so
-    the branches read it instead of re-running the text pipeline, and a lost
-    executor costs a re-read, not a recomputation from the raw text.
+    the branches read parquet instead of re-running the text pipeline.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
+    return written(df, "materialized")
