@@ -50,3 +50,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int) -
               .orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(rows))
     return (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
             .join(F.broadcast(chosen), "doc_id"))
+
+
+def worker_cache(name: str) -> dict:
+    """A dict that lives as long as the Python worker, across its tasks."""
+    import sys
+    import types
+
+    return sys.modules.setdefault("_textmill_worker_cache", types.ModuleType("cache")).__dict__.setdefault(name, {})

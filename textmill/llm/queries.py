@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+from textmill.llm.decontaminate import OP1_SQL, op1_decontaminate
+from textmill.llm.packing import op7_pack_best_fit
 from textmill.llm.simhash import op10_simhash_near_dedup
+from textmill.llm.toxicity import op4_toxicity
 
 QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
+    "op4_toxicity": op4_toxicity,
+    "op7_pack_best_fit": op7_pack_best_fit,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_decontaminate": OP1_SQL,
+}
