@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from textmill.llm.decontaminate import OP1_SQL, op1_decontaminate
 from textmill.llm.packing import op7_pack_best_fit
+from textmill.llm.quality import op9_quality_neighbours
 from textmill.llm.simhash import op10_simhash_near_dedup
 from textmill.llm.toxicity import op4_toxicity
 
@@ -11,6 +12,7 @@ QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op4_toxicity": op4_toxicity,
     "op7_pack_best_fit": op7_pack_best_fit,
+    "op9_quality_neighbours": op9_quality_neighbours,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
