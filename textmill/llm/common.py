@@ -58,3 +58,13 @@ def worker_cache(name: str) -> dict:
     import types
 
     return sys.modules.setdefault("_textmill_worker_cache", types.ModuleType("cache")).__dict__.setdefault(name, {})
+
+
+def filter_rows(df: DataFrame, keep: Callable[[list], Iterable[bool]]) -> DataFrame:
+    """Rows of ``df`` (all its columns) whose ``text`` ``keep`` is true for;
+    ``keep`` gets the texts of a batch.  No shuffle."""
+    def run(batches):
+        for b in batches:
+            yield b.filter(pa.array(keep(b.column("text").to_pylist()), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)

@@ -28,7 +28,7 @@ from collections import Counter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textmill.llm.common import map_rows, table
+from textmill.llm.common import filter_rows, map_rows, table
 
 WINDOW = 10
 SHINGLE = 2
@@ -116,18 +116,12 @@ def _blocks(benchmark: DataFrame, block_chars: int) -> list[DataFrame]:
     return [benchmark.filter(F.pmod(F.xxhash64("item"), F.lit(n)) == i) for i in range(n)]
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE,
-                  block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """One row per document: doc_id, n_words, spans (merged hit word ranges,
-    end excluded), n_hit (words inside them), items (ids as strings, sorted)."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    docs = docs.select("doc_id", "text")
+def _indexes(docs: DataFrame, benchmark: DataFrame, window: int, shingle: int, block_chars: int) -> list:
+    """A broadcast prefix index for each block of the benchmark."""
     bench = (benchmark.select(F.col("item_id").cast("string").alias("item"), "text")
              .filter("item is not null and text is not null"))
-    schema = f"doc_id {kind}, id bigint, n_words bigint, spans array<struct<start:bigint,end:bigint>>, items array<string>"
-    parts = []
-    blocks = _blocks(bench, block_chars)
-    for block in blocks:
+    out = []
+    for block in _blocks(bench, block_chars):
         items = [tuple(r) for r in block.collect()]
         wanted: dict[int, set] = {}
         for _, text in items:
@@ -135,7 +129,31 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
                 for s in _shingles(win, shingle):
                     wanted.setdefault(len(s), set()).add(s)
         counts = _counts(docs, {n: frozenset(x) for n, x in wanted.items()}) if wanted else {}
-        shared = docs.sparkSession.sparkContext.broadcast(prefix_index(items, counts, window, shingle))
+        out.append(docs.sparkSession.sparkContext.broadcast(prefix_index(items, counts, window, shingle)))
+    return out
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE,
+                    block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """Rows of ``docs``, all columns, that hold no window of the benchmark."""
+    out = docs
+    for shared in _indexes(docs, benchmark, window, shingle, block_chars):
+        out = filter_rows(out, lambda texts, shared=shared: [not find(words(t), shared.value)[0] for t in texts])
+    return out
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE,
+                  block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """One row per document: doc_id, n_words, spans (merged hit word ranges,
+    end excluded), n_hit (words inside them), items (ids as strings, sorted)."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    docs = docs.select("doc_id", "text")
+    schema = f"doc_id {kind}, id bigint, n_words bigint, spans array<struct<start:bigint,end:bigint>>, items array<string>"
+    parts = []
+    indexes = _indexes(docs, benchmark, window, shingle, block_chars)
+    # The hash of the text tells rows of one doc_id apart when blocks meet.
+    of = F.xxhash64("text") if len(indexes) > 1 else F.lit(None).cast("bigint")
+    for shared in indexes:
 
         def run(batches, shared=shared):
             index = shared.value
@@ -149,8 +167,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
                     out["items"].append(sorted(ids))
                 yield out
 
-        # The hash of the text tells rows of one doc_id apart when blocks meet.
-        of = F.xxhash64("text") if len(blocks) > 1 else F.lit(None).cast("bigint")
         parts.append(map_rows(docs.select("doc_id", of.alias("id"), "text"), run, schema))
     if len(parts) == 1:
         found = parts[0]

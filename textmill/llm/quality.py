@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textmill.llm.common import held_out, labelled_sample, map_rows, table
+from textmill.llm.common import filter_rows, held_out, labelled_sample, map_rows, table
 from textmill.session import written
 
 TRAIN_ROWS = 6_000
@@ -199,6 +199,16 @@ def quality(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) ->
     return map_rows(docs, run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double")
 
 
+def good_documents(docs: DataFrame, labels: DataFrame, keep_from: float = 0.3,
+                   train_rows: int = TRAIN_ROWS) -> DataFrame:
+    """Rows of ``docs``, all columns, with a score of ``keep_from`` or more."""
+    model = fit(docs, labels, train_rows)
+    if isinstance(model, float):
+        return docs if model >= keep_from else docs.limit(0)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    return filter_rows(docs, lambda texts: [s >= keep_from for x in bags(texts) for s in shared.value.score(x)])
+
+
 def op9_quality_neighbours(spark, sf_dir):
     """All documents scored for labels.quality."""
     scored = quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

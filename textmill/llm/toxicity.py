@@ -30,7 +30,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textmill.llm.common import held_out, labelled_sample, map_rows, table, worker_cache
+from textmill.llm.common import filter_rows, held_out, labelled_sample, map_rows, table, worker_cache
 from textmill.session import written
 
 TRAIN_ROWS = 8_000
@@ -330,6 +330,20 @@ def toxicity(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -
     return map_rows(docs, run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double")
 
 
+def clean_documents(docs: DataFrame, labels: DataFrame, reject_from: float = 0.5,
+                    train_rows: int = TRAIN_ROWS) -> DataFrame:
+    """Rows of ``docs``, all columns, with a score below ``reject_from``."""
+    model = fit(docs, labels, train_rows)
+    if model is None:
+        return docs
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def keep(texts):
+        return [s < reject_from for s in shared.value.score(texts, shared.value.automaton.letter_classes())]
+
+    return filter_rows(docs, keep)
+
+
 def op4_toxicity(spark, sf_dir):
     """All documents scored for labels.toxic."""
     scored = toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
