@@ -252,8 +252,10 @@ def simhash_groups(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> Data
     member = different.join(roots, different.fp == roots.node)
     ids = member.groupBy("root").agg(F.min("least").alias("component_id"))
     of_linked = member.join(ids, "root").select("fp", "component_id")
-    by_fp = (different.join(of_linked, "fp", "left")
-             .select("fp", F.coalesce("component_id", "least").alias("component_id")))
+    # Written, so that the last join reads two plain tables and a fingerprint
+    # that very many documents share is split at run time.
+    by_fp = written(different.join(of_linked, "fp", "left")
+                    .select("fp", F.coalesce("component_id", "least").alias("component_id")), "components")
     return fps.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
 
