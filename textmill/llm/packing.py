@@ -29,7 +29,7 @@ SEQUENCE = 4096
 END_ID = 1
 PART_ROWS = 20_000
 ROUNDS = 4
-CACHED = 1_000_000
+CACHED = 400_000
 TOKENIZER = "word_bpe_49k.json"
 #: One pre-token of the vocabulary's own splitting rule (fixed by its file).
 _PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"

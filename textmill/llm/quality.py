@@ -36,7 +36,7 @@ SHARPNESS = 12.0
 #: 3 graded terms of 11 steps after the shapes.
 TERMS = SHAPES + 3 * GRADES
 BLOCK = 2_000
-CHUNK = 4_000_000
+CHUNK = 1_000_000
 
 # White space, line end, small, capital, digit, then signs of their own.
 _SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"

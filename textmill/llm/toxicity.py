@@ -42,7 +42,7 @@ QUOTED_SHARE = 0.25
 STEMS = (4, 5, 6)
 _WORD = re.compile(r"[^\W\d_]+")
 _QUOTES = re.compile("[\"«»‘“”„‹›「」]")
-CHUNK = 2_000_000
+CHUNK = 1_000_000
 
 
 # -- lexicon ---------------------------------------------------------------
