@@ -2,28 +2,35 @@
 
 from __future__ import annotations
 
+from textmill.llm.counts import OP8_SQL, op8_token_rollup
 from textmill.llm.decontaminate import OP1_SQL, op1_decontaminate
+from textmill.llm.licences import OP2_SQL, op2_licences
 from textmill.llm.packing import op7_pack_best_fit
 from textmill.llm.quality import op9_quality_neighbours
 from textmill.llm.simhash import op10_simhash_near_dedup
 from textmill.llm.topk import OP5_SQL, op5_exact_top_k
 from textmill.llm.toxicity import op4_toxicity
-from textmill.llm.warc import op3_warc_round_trip
 from textmill.llm.urls import OP6_SQL, op6_url_rules
+from textmill.llm.warc import op3_warc_round_trip
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_licences": op2_licences,
     "op3_warc_round_trip": op3_warc_round_trip,
     "op4_toxicity": op4_toxicity,
     "op5_exact_top_k": op5_exact_top_k,
     "op6_url_rules": op6_url_rules,
     "op7_pack_best_fit": op7_pack_best_fit,
+    "op8_token_rollup": op8_token_rollup,
     "op9_quality_neighbours": op9_quality_neighbours,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
+# The others have no SQL form: archives, learned scores, tokenizers, fingerprints.
 ORACLE: dict[str, str] = {
     "op1_decontaminate": OP1_SQL,
+    "op2_licences": OP2_SQL,
     "op5_exact_top_k": OP5_SQL,
     "op6_url_rules": OP6_SQL,
+    "op8_token_rollup": OP8_SQL,
 }
