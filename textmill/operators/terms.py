@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textmill.session import materialize
-from textmill.sources.stopwords import spark_stop_words
+from textmill.sources.stopwords import stop_words as own_stop_words
 
 # Defaults of the topic job's vectorizer.
 MIN_DF = 5
@@ -70,7 +70,7 @@ def with_vectorizer_terms(df: DataFrame, tokens_col: str = "tokens", out_col: st
     tokens are their own projection so the pair step reads them, not four
     copies of the filter.
     """
-    stop = sorted(set(stop_words if stop_words is not None else spark_stop_words("english")))
+    stop = sorted(set(stop_words if stop_words is not None else own_stop_words("en")))
     kept = F.filter(F.col(tokens_col), lambda x: (F.length(x) >= 2) & ~x.isin(stop))
     df = df.withColumn("_kept", kept)
     k = F.col("_kept")

@@ -16,7 +16,7 @@ from textmill.operators.dedup import dedup_keep_first
 from textmill.plans.catalog import register
 from textmill.plans.sqltext import dedup_sql, sentiment_tokens_sql
 from textmill.sources.articles import SENTIMENT_LABELS
-from textmill.sources.stopwords import spark_stop_words
+from textmill.sources.stopwords import stop_words
 from textmill.sources.tables import table
 
 LABELS = list(SENTIMENT_LABELS)
@@ -39,7 +39,7 @@ def _split(spark, sf_dir):
     # Training tokens feed the model and every label statistic; write them
     # once instead of re-tokenising per branch.
     tr = materialize(tr.select("doc_id", "label",
-                               sentiment_tokens("text", spark_stop_words("english")).alias("tokens")))
+                               sentiment_tokens("text", stop_words("en")).alias("tokens")))
     te = te.select("doc_id", "label", sentiment_tokens("text").alias("tokens"))
     return tr, te
 
@@ -51,7 +51,7 @@ _LABEL_SQL = ("CASE WHEN l.toxic = 1 THEN 'negative' WHEN l.quality = 1 THEN 'po
 
 
 def _model_cte() -> str:
-    stop = spark_stop_words("english")
+    stop = stop_words("en")
     cnt = ", ".join(f"count(*) FILTER (WHERE label = '{x}') AS c_{x}" for x in LABELS)
     ncnt = ", ".join(f"count(*) FILTER (WHERE label = '{x}') AS n_{x}" for x in LABELS)
     seen = " + ".join(f"max(CASE WHEN label = '{x}' THEN 1 ELSE 0 END)" for x in LABELS)
@@ -97,10 +97,10 @@ def q_labelled_scan(spark, sf_dir):
 
 @register("sentiment_tokens", lambda: (
     f"SELECT doc_id, array_to_string(t, ' ') AS tokens, len(t) AS n_tokens FROM "
-    f"(SELECT doc_id, {sentiment_tokens_sql('text', spark_stop_words('english'))} AS t FROM documents)"))
+    f"(SELECT doc_id, {sentiment_tokens_sql('text', stop_words('en'))} AS t FROM documents)"))
 def q_sentiment_tokens(spark, sf_dir):
     t = table(spark, sf_dir, "documents", "doc_id", "text").select(
-        "doc_id", sentiment_tokens("text", spark_stop_words("english")).alias("t"))
+        "doc_id", sentiment_tokens("text", stop_words("en")).alias("t"))
     return t.select("doc_id", F.array_join("t", " ").alias("tokens"),
                     F.size("t").cast("bigint").alias("n_tokens"))
 

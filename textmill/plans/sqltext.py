@@ -19,7 +19,7 @@ from textmill.functions.text import (
     PUNCTUATION,
     SHORTEN_AT,
 )
-from textmill.sources.stopwords import spark_stop_words, topic_stop_words
+from textmill.sources.stopwords import stop_words, topic_stop_words
 
 
 def lit(s: str) -> str:
@@ -67,7 +67,7 @@ def tokens_sql(expr: str, stop_words: Sequence[str] | None = None, strip_boilerp
 
 
 def kept_terms_sql(tokens_expr: str) -> str:
-    stop = str_list(sorted(set(spark_stop_words("english"))))
+    stop = str_list(sorted(set(stop_words("en"))))
     return f"list_filter({tokens_expr}, lambda x: length(x) >= 2 AND NOT list_contains({stop}, x))"
 
 

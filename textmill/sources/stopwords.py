@@ -1,39 +1,43 @@
 """Stop-word lists.
 
 The list is a parameter: pass ``path`` (one word per line, the format the
-reference reads) to use your own.  Without it the English list that ships
-with Spark MLlib is used, read from the installed Spark jar, so driver-side
-code (the SQL oracle, the session) and tasks see the same words.
+reference reads) to use your own.  Without it a short list of English function words
+kept in this module is used, so driver-side code (the SQL oracle, the session)
+and tasks see the same words wherever they run.
 """
 
 from __future__ import annotations
 
 import functools
-import glob
-import os
-import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textmill.functions.text import EXTRA_STOP_WORDS
 
-SPARK_STOPWORDS_DIR = "org/apache/spark/ml/feature/stopwords"
-PROFILE_LANGUAGES = {"en": "english", "fr": "french", "de": "german", "es": "spanish"}
+#: Common function words of each profile language, without repeats inside a list.
+WORDS = {
+    "en": """a about above after again all am an and any are as at be because been before being below between both
+        but by can could did do does doing down during each few for from further had has have having he her here hers
+        him his how i if in into is it its just me more most my no nor not now of off on once only or other our out
+        over own same she should so some such than that the their them then there these they this those through to
+        too under until up very was we were what when where which while who whom why with would you your""",
+    "fr": """au aux avec ce ces dans de des du elle en est et eux il ils je la le les leur lui ma mais me moi mon
+        ne nos notre nous on ou par pas pour qu que qui sa se ses son sur ta te toi ton tu un une vos votre vous
+        sont plus cette comme""",
+    "de": """aber als am an auch auf aus bei bin bis bist da damit das dass dein dem den der des die dies dir doch
+        du durch ein eine einem einen einer es für hat hatte ich ihm ihn ihr im in ist ja kein man mein mich mir
+        mit nach nicht noch nun nur ob oder ohne sich sie sind so um und uns vom von vor war was wie wir zu zum zur""",
+    "es": """al algo como con contra cual cuando de del desde donde el ella ellos en entre era es esa ese esta este
+        fue ha hasta hay la las le les lo los mi mucho muy nada ni no nos o os otra para pero poco por porque que
+        quien se ser si sin sobre son su sus también te tiene todo tu un una uno y ya yo""",
+}
 
 
 @functools.lru_cache(maxsize=None)
-def spark_stop_words(language: str = "english") -> tuple[str, ...]:
-    """MLlib's default stop words for ``language`` (same as
-    ``StopWordsRemover.loadDefaultStopWords``), read without a JVM."""
-    import pyspark
-
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    if not jars:
-        raise FileNotFoundError("spark-mllib jar not found next to pyspark")
-    with zipfile.ZipFile(jars[0]) as z:
-        raw = z.read(f"{SPARK_STOPWORDS_DIR}/{language}.txt").decode("utf-8")
-    return tuple(w for w in (line.strip() for line in raw.splitlines()) if w)
+def stop_words(language: str = "en") -> tuple[str, ...]:
+    """The package's own list for ``language``."""
+    return tuple(WORDS[language].split())
 
 
 def read_stop_words(path: str) -> tuple[str, ...]:
@@ -43,9 +47,9 @@ def read_stop_words(path: str) -> tuple[str, ...]:
 
 
 def topic_stop_words(path: str | None = None, extra=tuple(EXTRA_STOP_WORDS)) -> list[str]:
-    """Stop list of the topic job: the list file (or Spark's English list)
+    """Stop list of the topic job: the list file (or the English list)
     plus the two extra words the job appends."""
-    base = read_stop_words(path) if path else spark_stop_words("english")
+    base = read_stop_words(path) if path else stop_words("en")
     seen, out = set(), []
     for w in list(base) + list(extra):
         if w not in seen:
@@ -68,9 +72,5 @@ def stop_words_from_text(spark: SparkSession, path: str) -> DataFrame:
 
 
 def language_profiles() -> list[tuple[str, str]]:
-    """(lang, word) rows: Spark's stop lists for the profile languages."""
-    rows = []
-    for code, name in sorted(PROFILE_LANGUAGES.items()):
-        for w in sorted(set(spark_stop_words(name))):
-            rows.append((code, w))
-    return rows
+    """(lang, word) rows of the profile languages."""
+    return [(code, w) for code in sorted(WORDS) for w in sorted(stop_words(code))]
