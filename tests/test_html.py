@@ -1,4 +1,4 @@
-from textmill.operators.html import listing_rows, page_text, visible_text
+from textmill.operators.html import category_links, listing_articles, listing_rows, page_text, visible_text
 
 PAGE = """<html><head><title>T</title></head><body><nav><a>N</a></nav><article><h1>H</h1>
 <p>One <a href="x">two</a> .</p><ul><li>L</li></ul><article><p>nested</p></article>
@@ -40,3 +40,18 @@ def test_page_text_runs_on_pages(spark):
     rows = out.collect()
     assert len(rows) == 250
     assert all("track(" not in r.body and "margin:0" not in r.body for r in rows)
+
+
+def test_very_deep_pages():
+    assert visible_text("<b>" * 5000 + "deep" + "</b>" * 5000 + "<p>x") == "deep x"
+    assert len(listing_rows("<article>" + "<a>" * 5000 + "<time datetime='t'>")) == 1
+
+
+def test_listing_and_categories_run_on_rows(spark):
+    pages = spark.createDataFrame(
+        [(1, LISTING), (2, "<a aria-label='World' href='./w1'>a</a><a aria-label='World' href='./w2'>b</a>"),
+         (3, None), (4, "")], "page_id long, html string")
+    rows = listing_articles(pages, since="2020-10-02T12:00:00Z").collect()
+    assert [(r.page_id, r.headline, r.source) for r in rows] == [(1, "Fallback", "Paper")]
+    assert listing_articles(pages).count() == 2
+    assert [(r.page_id, r.category, r.url[-3:]) for r in category_links(pages).collect()] == [(2, "World", "/w1")]

@@ -1,11 +1,12 @@
 """HTML extraction over a ``pages(page_id, url, html)`` table.
 
 Parsing is the one step with no Spark expression, so each page is parsed in
-Python inside ``mapInPandas`` (Arrow batches, one parser per task, pages
-spread over the cluster).  The tree follows the rules of the reference's
-parser set-up: void elements never nest, an end tag closes up to its nearest
-open match, an end tag with no open match is ignored, script/style bodies
-are raw text.
+Python inside ``mapInPandas`` (Arrow batches, pages spread over the cluster).
+One pass over the tags fills a flat table of elements in document order; the
+descendants of an element are the rows up to its ``end``, and its text is a
+range of the page's text nodes, so nothing recurses and depth costs nothing.
+Void elements never nest, an end tag closes up to its nearest open match, an
+end tag with no open match is ignored, script/style bodies are raw text.
 """
 
 from __future__ import annotations
@@ -16,8 +17,9 @@ from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from textmill.functions.stamps import NEWS_BASE_URL
+from textmill.functions.stamps import NEWS_BASE_URL, absolute_url
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's for right results.
@@ -38,9 +40,9 @@ BAD_PARENT_LIMITS = {
     "h4": 1,
     "h5": 1,
 }
-# Levels walked upwards (the text node counts as the first) before giving up
-# and keeping the text.
-MAX_ANCESTOR_WALK = 100
+# Only so many of the nearest ancestors can hide a text (a rule of the result,
+# a parameter of ``visible_text``).
+NEAREST_ANCESTORS = 100
 # Categories of the listing site's section links.
 CATEGORIES = ["U.S.", "World", "Business", "Technology", "Entertainment", "Sports", "Science", "Health"]
 # Link markers inside a listing article.
@@ -58,156 +60,147 @@ VOID_ELEMENTS = frozenset({
 })
 
 
-class Node:
-    __slots__ = ("name", "attrs", "parent", "children")
+class Element:
+    """A row of the element table."""
 
-    def __init__(self, name, attrs, parent):
-        self.name = name
-        self.attrs = attrs
-        self.parent = parent
-        self.children = []
+    __slots__ = ("tag", "attrs", "parent", "at", "end", "text_from", "text_to")
 
+    def __init__(self, tag, attrs, parent, at, text_from):
+        self.tag, self.attrs, self.parent, self.at, self.text_from = tag, attrs, parent, at, text_from
+        self.end, self.text_to = at + 1, text_from
 
-class Text:
-    __slots__ = ("text", "parent", "comment")
 
-    def __init__(self, text, parent, comment=False):
-        self.text = text
-        self.parent = parent
-        self.comment = comment
+class PageTable(HTMLParser):
+    """``elements`` in document order, ``texts`` (all text nodes but comments) and
+    which of them are ``shown``.
 
+    For every hiding tag the depths of its open elements are kept, so whether a
+    text is hidden is one look at the innermost of them.
+    """
 
-class _TreeBuilder(HTMLParser):
-    def __init__(self):
+    def __init__(self, nearest: int = NEAREST_ANCESTORS):
         super().__init__(convert_charrefs=True)
-        self.root = Node("[document]", {}, None)
-        self.stack = [self.root]
-        self.open_count: dict[str, int] = {}
-        self.buf: list[str] = []
-
-    def _flush(self):
-        if self.buf:
-            top = self.stack[-1]
-            top.children.append(Text("".join(self.buf), top))
-            self.buf = []
+        self.nearest = nearest
+        self.elements: list[Element] = []
+        self.texts: list[str] = []
+        self.shown: list[bool] = []
+        self.open: list[Element] = []
+        self.depths: dict[str, list[int]] = {}
+        self.pending: list[str] = []
+
+    @classmethod
+    def of(cls, html: str | None, nearest: int = NEAREST_ANCESTORS) -> PageTable:
+        page = cls(nearest)
+        page.feed(html or "")
+        page.close()
+        page._end_text()
+        while page.open:
+            page._leave()
+        return page
+
+    def _visible(self) -> bool:
+        if not self.open or self.open[-1].tag in INVISIBLE_PARENTS:
+            return False
+        farthest = len(self.open) - self.nearest
+        return not any(len(at) >= limit and at[-limit] >= farthest
+                       for tag, limit in BAD_PARENT_LIMITS.items() if (at := self.depths.get(tag)))
+
+    def _end_text(self) -> None:
+        if self.pending:
+            self.texts.append("".join(self.pending))
+            self.shown.append(self._visible())
+            self.pending = []
+
+    def _enter(self, tag, attrs) -> Element:
+        self._end_text()
+        parent = self.open[-1] if self.open else None
+        row = Element(tag, dict(attrs), parent, len(self.elements), len(self.texts))
+        self.elements.append(row)
+        return row
+
+    def _leave(self) -> str:
+        row = self.open.pop()
+        row.end, row.text_to = len(self.elements), len(self.texts)
+        self.depths[row.tag].pop()
+        return row.tag
 
     def handle_starttag(self, tag, attrs):
-        self._flush()
-        node = Node(tag, dict(attrs), self.stack[-1])
-        self.stack[-1].children.append(node)
+        row = self._enter(tag, attrs)
         if tag not in VOID_ELEMENTS:
-            self.stack.append(node)
-            self.open_count[tag] = self.open_count.get(tag, 0) + 1
+            self.depths.setdefault(tag, []).append(len(self.open))
+            self.open.append(row)
 
     def handle_startendtag(self, tag, attrs):
-        self._flush()
-        self.stack[-1].children.append(Node(tag, dict(attrs), self.stack[-1]))
+        self._enter(tag, attrs)
 
     def handle_endtag(self, tag):
-        self._flush()
-        if not self.open_count.get(tag):
-            return
-        while len(self.stack) > 1:
-            node = self.stack.pop()
-            self.open_count[node.name] -= 1
-            if node.name == tag:
-                break
+        self._end_text()
+        if self.depths.get(tag):
+            while self._leave() != tag:
+                pass
 
     def handle_data(self, data):
-        self.buf.append(data)
+        self.pending.append(data)
 
     def handle_comment(self, data):
-        self._flush()
-        self.stack[-1].children.append(Text(data, self.stack[-1], comment=True))
-
-    def close(self):
-        super().close()
-        self._flush()
-
-
-def parse(html: str) -> Node:
-    b = _TreeBuilder()
-    b.feed(html or "")
-    b.close()
-    return b.root
-
-
-def _walk(node: Node):
-    for child in node.children:
-        yield child
-        if isinstance(child, Node):
-            yield from _walk(child)
-
-
-def _keep(t: Text) -> bool:
-    if t.comment or t.parent.name in INVISIBLE_PARENTS:
-        return False
-    seen: dict[str, int] = {}
-    element, level = t.parent, 1
-    while element.parent is not None:
-        level += 1
-        limit = BAD_PARENT_LIMITS.get(element.name)
-        if limit is not None:
-            seen[element.name] = seen.get(element.name, 0) + 1
-            if seen[element.name] >= limit:
-                return False
-        element = element.parent
-        if level > MAX_ANCESTOR_WALK:
-            return True
-    return True
+        self._end_text()
 
+    def inside(self, row: Element | None, *tags: str) -> list[Element]:
+        """Elements below ``row`` (None: the page), of ``tags``, in document order."""
+        below = self.elements if row is None else self.elements[row.at + 1:row.end]
+        return [e for e in below if e.tag in tags]
 
-_SPACES = re.compile(" +")
+    def text(self, row: Element) -> str:
+        return "".join(self.texts[row.text_from:row.text_to])
 
 
-def visible_text(html: str) -> str:
-    """H1 + H2 + F14: the page's visible text."""
-    root = parse(html)
-    parts = [n.text.strip() for n in _walk(root) if isinstance(n, Text) and _keep(n)]
-    body = _SPACES.sub(" ", " ".join(parts))
-    return body.strip().replace(" .", ".")
+_SPACES = re.compile(" +")
 
 
-def get_text(node: Node) -> str:
-    return "".join(n.text for n in _walk(node) if isinstance(n, Text) and not n.comment)
+def visible_text(html: str | None, nearest: int = NEAREST_ANCESTORS) -> str:
+    """H1 + H2 + F14: the page's visible text."""
+    page = PageTable.of(html, nearest)
+    body = " ".join(t.strip() for t, shown in zip(page.texts, page.shown) if shown)
+    return _SPACES.sub(" ", body).strip().replace(" .", ".")
 
 
 def absolute(fragment: str, base: str = NEWS_BASE_URL) -> str:
     return base + fragment[1:]
 
 
-def listing_rows(html: str, base: str = NEWS_BASE_URL) -> list[dict]:
+def _last(values, default):
+    found = default
+    for v in values:
+        found = v
+    return found
+
+
+def listing_rows(html: str | None, base: str = NEWS_BASE_URL) -> list[dict]:
     """H3: one row per ``<article>`` that has a ``<time>``."""
-    out = []
-    root = parse(html)
-    for art in (n for n in _walk(root) if isinstance(n, Node) and n.name == "article"):
-        desc = [n for n in _walk(art) if isinstance(n, Node)]
-        times = [n for n in desc if n.name == "time"]
-        if not times:
-            continue
-        heads = [n for n in desc if n.name == "h3"] + [n for n in desc if n.name == "h4"]
-        source, url = NO_SOURCE, NO_URL
-        for link in (n for n in desc if n.name == "a"):
-            href = link.attrs.get("href") or ""
-            if PUBLICATION_MARK in href:
-                source = get_text(link)
-            if ARTICLE_MARK in href:
-                url = absolute(href, base)
-        if source == NO_SOURCE:
-            for link in (n for n in _walk(times[0].parent) if isinstance(n, Node) and n.name == "a"):
-                text = get_text(link)
-                if text:
-                    source = text
-        out.append({"source": source, "datetime": times[0].attrs.get("datetime"),
-                    "headline": get_text(heads[0]) if heads else None, "url": url})
-    return out
-
-
-def link_rows(html: str) -> list[dict]:
+    page = PageTable.of(html)
+
+    def hrefs(links, mark):
+        return (e for e in links if mark in (e.attrs.get("href") or ""))
+
+    def row(article: Element, time: Element) -> dict:
+        links = page.inside(article, "a")
+        near_time = filter(None, map(page.text, page.inside(time.parent, "a")))
+        source = _last(map(page.text, hrefs(links, PUBLICATION_MARK)), None)
+        headings = sorted(page.inside(article, "h3", "h4"), key=lambda e: e.tag)  # stable: every h3 before every h4
+        return {"source": _last(near_time, NO_SOURCE) if source is None else source,
+                "datetime": time.attrs.get("datetime"),
+                "headline": page.text(headings[0]) if headings else None,
+                "url": _last((absolute(e.attrs["href"], base) for e in hrefs(links, ARTICLE_MARK)), NO_URL)}
+
+    with_time = ((a, page.inside(a, "time")) for a in page.inside(None, "article"))
+    return [row(a, times[0]) for a, times in with_time if times]
+
+
+def link_rows(html: str | None) -> list[dict]:
     """H4 building block: every ``<a>`` with its href, aria-label and text."""
-    root = parse(html)
-    return [{"href": n.attrs.get("href"), "aria_label": n.attrs.get("aria-label"), "text": get_text(n)}
-            for n in _walk(root) if isinstance(n, Node) and n.name == "a"]
+    page = PageTable.of(html)
+    return [{"position": i, "href": e.attrs.get("href"), "aria_label": e.attrs.get("aria-label"), "text": page.text(e)}
+            for i, e in enumerate(page.inside(None, "a"))]
 
 
 # ---------------------------------------------------------------------------- Spark operators
@@ -223,8 +216,10 @@ def page_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "html")
 
 
 def listing_articles(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
-                     category_col: str | None = None, base: str = NEWS_BASE_URL) -> DataFrame:
-    """H3: ``id_col, category, source, datetime, headline, url`` per listed article."""
+                     category_col: str | None = None, base: str = NEWS_BASE_URL,
+                     since: str | None = None) -> DataFrame:
+    """H3: ``id_col, category, source, datetime, headline, url`` per listed article,
+    from the cut-off ``since`` (inclusive, same format as ``datetime``) on."""
     cols = [id_col, html_col] + ([category_col] if category_col else [])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -239,11 +234,12 @@ def listing_articles(pages: DataFrame, id_col: str = "page_id", html_col: str =
             yield pd.DataFrame(rows, columns=[id_col, "category", "source", "datetime", "headline", "url"])
 
     schema = f"{id_col} long, category string, source string, datetime string, headline string, url string"
-    return pages.select(*cols).mapInPandas(run, schema)
+    out = pages.select(*cols).mapInPandas(run, schema)
+    return out if since is None else out.filter(F.col("datetime") >= since)
 
 
 def page_links(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    """H4 building block: ``id_col, href, aria_label, text`` for every link."""
+    """H4 building block: ``id_col, position, href, aria_label, text`` for every link."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -252,7 +248,15 @@ def page_links(pages: DataFrame, id_col: str = "page_id", html_col: str = "html"
                 for r in link_rows(html):
                     r[id_col] = pid
                     rows.append(r)
-            yield pd.DataFrame(rows, columns=[id_col, "href", "aria_label", "text"])
+            yield pd.DataFrame(rows, columns=[id_col, "position", "href", "aria_label", "text"])
 
     return pages.select(id_col, html_col).mapInPandas(
-        run, f"{id_col} long, href string, aria_label string, text string")
+        run, f"{id_col} long, position int, href string, aria_label string, text string")
+
+
+def category_links(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
+    """H4: ``id_col, category, url``: the page's first link, in document order,
+    labelled with each section category."""
+    tagged = page_links(pages, id_col, html_col).filter(F.col("aria_label").isin(CATEGORIES) & F.col("href").isNotNull())
+    first = tagged.groupBy(id_col, F.col("aria_label").alias("category")).agg(F.min_by("href", "position").alias("href"))
+    return first.select(id_col, "category", absolute_url("href").alias("url"))

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
-from textmill.functions.stamps import absolute_url
 from textmill.operators import html
 from textmill.operators.language import UNDETECTED, WORD_SPLIT, detect_language
 from textmill.operators.filters import not_blocked
@@ -36,10 +33,7 @@ def q_page_links(spark, sf_dir):
 @register("category_urls")
 def q_category_urls(spark, sf_dir):
     """H4: per page, the first link labelled with each section category."""
-    links = html.page_links(table(spark, sf_dir, "pages", "page_id", "html"))
-    tagged = links.filter(F.col("aria_label").isin(html.CATEGORIES) & F.col("href").isNotNull())
-    first = tagged.groupBy("page_id", F.col("aria_label").alias("category")).agg(F.first("href").alias("href"))
-    return first.select("page_id", "category", absolute_url("href").alias("url"))
+    return html.category_links(table(spark, sf_dir, "pages", "page_id", "html"))
 
 
 def _language_sql() -> str:
