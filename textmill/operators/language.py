@@ -1,11 +1,8 @@
-"""Language identification as a Spark job.
+"""Language identification as a column expression.
 
 The reference calls a per-row statistical detector.  Here a document's
-language is the profile language whose stop words it uses most: words are
-exploded, matched against a (lang, word) profile table with a broadcast
-join (the table is fixed-size configuration: a few hundred words per
-language), counted per (document, language) with map-side combining, and the
-top language per document is kept.  Ties go to the smaller language code; a
+language is the profile language whose stop words it uses most, counted inside
+the row: no explode, join or shuffle.  Ties go to the smaller language code; a
 document with no profile word gets ``Error``, like a failed detection.
 """
 
@@ -13,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textmill.sources.stopwords import language_profiles
@@ -23,35 +20,31 @@ UNDETECTED = "Error"
 WORD_SPLIT = r"[^\p{L}]+"
 
 
-def profile_frame(spark) -> DataFrame:
-    return spark.createDataFrame(language_profiles(), "lang string, word string")
+def language_of(text_col: str = "description") -> Column:
+    """The detected language of a text column."""
+    words = F.split(F.lower(F.col(text_col)), WORD_SPLIT)
+    profiles: dict[str, list[str]] = {}
+    for lang, word in language_profiles():
+        profiles.setdefault(lang, []).append(word)
 
+    def counted(rank: int, lang: str) -> Column:
+        return F.struct(F.size(F.filter(words, lambda w: w.isin(profiles[lang]))).alias("n"), F.lit(-rank).alias("rank"),
+                        F.lit(lang).alias("lang"))
 
-def detect_language(df: DataFrame, text_col: str = "description", id_col: str = "doc_id",
-                    out_col: str = "language") -> DataFrame:
-    """``id_col, out_col`` for every row of ``df`` (one row per id)."""
-    profile = F.broadcast(profile_frame(df.sparkSession))
-    words = df.select(id_col, F.explode_outer(F.split(F.lower(F.col(text_col)), WORD_SPLIT)).alias("word"))
-    hits = (words.join(profile, "word", "left")
-            .groupBy(id_col, "lang")
-            .agg(F.count("lang").alias("n")))
-    # Smallest (-n, lang) = most hits, then smallest code; the no-hit group
-    # (lang null, n 0) only wins when there is nothing else.
-    best = hits.groupBy(id_col).agg(F.min(F.struct((-F.col("n")).alias("neg"), F.col("lang"))).alias("b"))
-    return best.select(id_col, F.coalesce(F.col("b.lang"), F.lit(UNDETECTED)).alias(out_col))
+    best = F.greatest(*[counted(i, lang) for i, lang in enumerate(sorted(profiles))])
+    return F.when(best["n"] > 0, best["lang"]).otherwise(F.lit(UNDETECTED))
 
 
-def with_language(df: DataFrame, text_col: str = "description", id_col: str = "doc_id",
-                  out_col: str = "language") -> DataFrame:
-    """Attach the detected language to every row of ``df``."""
-    return df.join(detect_language(df, text_col, id_col, out_col), id_col)
+def detect_language(df: DataFrame, text_col: str = "description", id_col: str = "doc_id",
+                    out_col: str = "language") -> DataFrame:
+    """``id_col, out_col`` for every row of ``df``."""
+    return df.select(id_col, language_of(text_col).alias(out_col))
 
 
 def filter_languages(df: DataFrame, languages: Sequence[str], text_col: str = "description",
-                     id_col: str = "doc_id") -> DataFrame:
-    """Keep rows in ``languages`` and add ``language``; an empty list keeps
+                     out_col: str = "language") -> DataFrame:
+    """Keep rows in ``languages`` and add ``out_col``; an empty list keeps
     every row and adds no column (as in the reference)."""
     if not languages:
         return df
-    tagged = with_language(df, text_col, id_col)
-    return tagged.filter(F.col("language").isin(list(languages)))
+    return df.withColumn(out_col, language_of(text_col)).filter(F.col(out_col).isin(list(languages)))

@@ -11,11 +11,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from textmill.functions.text import tokenize
 from textmill.operators.dedup import dedup_keep_first
 from textmill.operators.filters import API_MAX_CHARS, MIN_CHARS_EXCLUSIVE, drop_null_text, length_band
+from textmill.operators.language import filter_languages
 from textmill.sources.stopwords import topic_stop_words
 from textmill.sources.tables import articles
 
@@ -35,24 +35,24 @@ PAGE_PRESET = Preset()
 
 
 def prepare_articles(df: DataFrame, preset: Preset = PAGE_PRESET, languages: Sequence[str] = ("en",),
-                     lang_col: str = "lang", stop_words: Sequence[str] | None = None,
-                     text_col: str = "description") -> DataFrame:
+                     stop_words: Sequence[str] | None = None, text_col: str = "description") -> DataFrame:
     """P1 -> A5 -> language -> P4 -> tokens over any article-shaped frame.
 
-    ``lang_col`` must already hold a language code (a given column or the
-    output of ``operators.language.detect_language``).  An empty
-    ``languages`` list means no language filter.
+    The language is identified from the text and returned as ``lang``; an
+    empty ``languages`` list means no language filter.  Of equal texts the one
+    with the first ``batch_stamp`` and ``doc_id`` stays, as far as the frame has
+    these columns; without either, the smallest of its other columns.
     """
     stop = list(stop_words) if stop_words is not None else topic_stop_words()
     df = drop_null_text(df, text_col)
-    df = dedup_keep_first(df, text_col, ["doc_id"])
-    if languages:
-        df = df.filter(F.col(lang_col).isin(list(languages)))
+    order = [c for c in ("batch_stamp", "doc_id") if c in df.columns] or [c for c in df.columns if c != text_col]
+    df = dedup_keep_first(df, text_col, order)
     df = length_band(df, text_col, preset.min_chars_exclusive, preset.max_chars_inclusive)
+    df = filter_languages(df, languages, text_col, "lang")
     return df.withColumn("tokens", tokenize(text_col, stop, preset.strip_boilerplate))
 
 
 def article_corpus(spark: SparkSession, sf_dir: str, preset: Preset = PAGE_PRESET,
                    languages: Sequence[str] = ("en",), stop_words: Sequence[str] | None = None) -> DataFrame:
     """The corpus over the ``documents`` table."""
-    return prepare_articles(articles(spark, sf_dir), preset, languages, "lang", stop_words)
+    return prepare_articles(articles(spark, sf_dir), preset, languages, stop_words)

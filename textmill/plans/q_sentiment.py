@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 from textmill.functions.text import sentiment_tokens, title_of
 from textmill.operators import sentiment as nb
 from textmill.operators.dedup import dedup_keep_first
+from textmill.operators.language import filter_languages
 from textmill.plans.catalog import register
-from textmill.plans.sqltext import dedup_sql, sentiment_tokens_sql
+from textmill.plans.sqltext import dedup_sql, language_sql, sentiment_tokens_sql
 from textmill.sources.articles import SENTIMENT_LABELS
 from textmill.sources.stopwords import stop_words
+from textmill.session import written
 from textmill.sources.tables import table
 
 LABELS = list(SENTIMENT_LABELS)
@@ -159,7 +161,7 @@ def q_nb_informative(spark, sf_dir):
 def _titles_sql() -> str:
     return (f"WITH {_model_cte()}, "
             f"ti AS (SELECT doc_id, split_part(text, chr(10), 1) AS title FROM {dedup_sql()} "
-            f"WHERE lang = 'en'), "
+            f"WHERE {language_sql('text')} = 'en'), "
             f"tt AS (SELECT doc_id, list_distinct({sentiment_tokens_sql('title')}) AS toks FROM ti), "
             f"{_scores_cte('tt')} SELECT ti.doc_id, ti.title, {_prediction_sql()} AS sentiment "
             f"FROM sc JOIN ti ON sc.doc_id = ti.doc_id")
@@ -170,9 +172,10 @@ def q_score_titles(spark, sf_dir):
     """N3 + S10: titles of the deduplicated English articles with a label."""
     tr, _ = _split(spark, sf_dir)
     model, stats = nb.train(tr, "tokens", LABELS)
-    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang").filter(F.col("text").isNotNull())
-    arts = dedup_keep_first(docs, "text", ["doc_id"]).filter(F.col("lang") == "en")
-    titles = arts.select("doc_id", title_of("text").alias("title"))
+    docs = table(spark, sf_dir, "documents", "doc_id", "text").filter(F.col("text").isNotNull())
+    arts = filter_languages(dedup_keep_first(docs, "text", ["doc_id"]), ["en"], "text")
+    # Written once: the titles are read again beside their scores.
+    titles = written(arts.select("doc_id", title_of("text").alias("title")), "titles")
     toks = titles.select("doc_id", sentiment_tokens("title").alias("tokens"))
     scored = nb.classify(toks, model, stats, "doc_id", "tokens", LABELS)
     return titles.join(scored.select("doc_id", F.col("prediction").alias("sentiment")), "doc_id")

@@ -93,8 +93,24 @@ def corpus_sql(max_chars: int | None = None, languages: Sequence[str] = ("en",),
     band = "length(text) > 140" + (f" AND length(text) <= {max_chars}" if max_chars else "")
     lang = f" AND lang IN ({', '.join(lit(x) for x in languages)})" if languages else ""
     extra = f", {extra_cols}" if extra_cols else ""
+    detected = f"(SELECT * REPLACE ({language_sql('text')} AS lang) FROM {dedup_sql()})" if languages else dedup_sql()
     return (f"SELECT doc_id, source, lang, text{extra}, {tokens_sql('text')} AS tokens "
-            f"FROM {dedup_sql()} WHERE {band}{lang}")
+            f"FROM {detected} WHERE {band}{lang}")
+
+
+def language_sql(expr: str) -> str:
+    """SQL of ``operators.language.language_of``."""
+    from textmill.operators.language import UNDETECTED, WORD_SPLIT
+    from textmill.sources.stopwords import language_profiles
+
+    words = f"string_split_regex({lower_sql(expr)}, {lit(WORD_SPLIT)})"
+    profiles: dict[str, list[str]] = {}
+    for code, word in language_profiles():
+        profiles.setdefault(code, []).append(word)
+    n = {code: f"len(list_filter({words}, lambda x: x IN ({', '.join(map(lit, ws))})))" for code, ws in sorted(profiles.items())}
+    best = f"greatest({', '.join(n.values())})"
+    whens = " ".join(f"WHEN {c} = {best} THEN {lit(code)}" for code, c in n.items())
+    return f"CASE WHEN coalesce({best}, 0) = 0 THEN {lit(UNDETECTED)} {whens} END"
 
 
 def sentiment_tokens_sql(expr: str, stop_words: Sequence[str] = ()) -> str:

@@ -5,10 +5,9 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-# Runtime SQL settings every textmill job relies on; applied to any session
-# the library is handed (``apply_runtime_defaults``).
+# Runtime SQL settings of sessions that ``build_session`` makes; a session made
+# elsewhere keeps its own.
 #
 # * AQE re-plans joins and coalesces shuffle partitions at run time; skew-join
 #   splitting protects the term and token joins, whose keys are Zipf-skewed.
@@ -44,7 +43,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
     On a cluster ``master`` stays ``None`` so spark-submit decides; locally
     pass ``local[N]``.  ``shuffle_partitions`` should be sized so that one
-    shuffle partition holds roughly 128-256 MB at the target scale.
+    shuffle partition holds roughly 128-256 MB at the target scale; scans of
+    the text tables are dealt over as many tasks.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -52,6 +52,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     conf = dict(SESSION_DEFAULTS)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+        conf["textmill.scan.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -61,18 +62,6 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
-_CONFIGURED: set[int] = set()
-
-
-def apply_runtime_defaults(spark: SparkSession) -> None:
-    """Set ``RUNTIME_SQL_DEFAULTS`` on ``spark`` (once per session)."""
-    if id(spark) in _CONFIGURED:
-        return
-    for k, v in RUNTIME_SQL_DEFAULTS.items():
-        spark.conf.set(k, v)
-    _CONFIGURED.add(id(spark))
-
-
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
@@ -115,43 +104,12 @@ def written(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only if it provably holds at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows, so it stays cheap even
-    when the side turns out to be large; beyond the bound the plain frame is
-    returned and the planner picks a shuffle join.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def spread(df: DataFrame, key: str | None = None, min_partitions: int | None = None) -> DataFrame:
-    """Give CPU-heavy per-row work (regexes, HTML parsing) enough tasks.
-
-    A scan yields one task per file split; a table stored as one row group
-    is one task however large.  When the scan has fewer partitions than the
-    cluster's parallelism, hash-partition on ``key`` (a unique row id: no
-    skew, and deterministic if a task is retried).  Scans that already have
-    enough splits, as at scale, are left alone: no shuffle is added.
-    """
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if _scan_partitions(df) >= target:
-        return df
-    return df.repartition(target, key) if key else df.repartition(target)
-
-
-_SCAN_PARTITIONS: dict[tuple, int] = {}
-
-
-def _scan_partitions(df: DataFrame) -> int:
-    # Planning a scan is cheap but not free; a path's split count does not
-    # change within a session, so remember it per input set.
-    key = (id(df.sparkSession), tuple(sorted(df.inputFiles())))
-    if key not in _SCAN_PARTITIONS:
-        _SCAN_PARTITIONS[key] = df.rdd.getNumPartitions()
-    return _SCAN_PARTITIONS[key]
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Deal rows out by their unique id before per-row text work, where the
+    session asks for it with ``textmill.scan.partitions``: for tables stored
+    as fewer splits than there are cores.  Unset, nothing is shuffled."""
+    n = df.sparkSession.conf.get("textmill.scan.partitions", None)
+    return df.repartition(int(n), key) if n else df
 
 
 def materialize(df: DataFrame) -> DataFrame:

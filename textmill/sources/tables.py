@@ -13,16 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textmill.functions.text import title_of
-from textmill.session import apply_runtime_defaults, spread
+from textmill.session import spread
 
 # Row id of the tables whose rows carry long text; scans of these are spread
 # over the cluster before per-row text work (see ``session.spread``).
-TEXT_TABLE_KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id",
-                   "benchmark": "item_id"}
+TEXT_TABLE_KEYS = {"documents": "doc_id", "pages": "page_id", "benchmark": "item_id"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    apply_runtime_defaults(spark)
     df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
     df = df.select(*cols) if cols else df
     key = TEXT_TABLE_KEYS.get(name)
