@@ -39,6 +39,7 @@ LEAST_G2 = 20.0
 FUZZY_FROM = 5
 CONTEXT = 80
 QUOTED_SHARE = 0.25
+MISSPELT = 0.8
 STEMS = (4, 5, 6)
 _WORD = re.compile(r"[^\W\d_]+")
 _QUOTES = re.compile("[\"«»‘“”„‹›「」]")
@@ -305,10 +306,15 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Mod
         docs_with[r.label].update(set(r.which))
     n1 = max(1, sum(r.label for r in rows))
     n0 = max(1, len(rows) - n1)
-    model.weights = np.array([
-        np.clip(math.log((docs_with[1][i] + 0.5) / (n1 + 1) * (n0 + 1) / (docs_with[0][i] + 0.5)), -3, 6)
-        if docs_with[0][i] + docs_with[1][i] else 2.0 - distance
-        for i, (_, distance) in enumerate(model.automaton.accepts)])
+    accepts = model.automaton.accepts
+
+    def odds(i: int) -> float:
+        return float(np.clip(math.log((docs_with[1][i] + 0.5) / (n1 + 1) * (n0 + 1) / (docs_with[0][i] + 0.5)), -3, 6))
+
+    exact = {term: odds(i) for i, (term, distance) in enumerate(accepts) if distance == 0}
+    # A misspelling that the sample never has counts as most of its term.
+    model.weights = np.array([odds(i) if docs_with[0][i] + docs_with[1][i] else MISSPELT * exact.get(term, 0.0)
+                              for i, (term, _) in enumerate(accepts)])
     x = np.array([_features(r.n_words, list(zip(r.which, r.quoted)), model.weights) for r in rows])
     model.line = _logistic(x, np.array([float(r.label) for r in rows]))
     return model
