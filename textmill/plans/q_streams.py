@@ -48,8 +48,8 @@ def q_stream_daily_window(spark, sf_dir):
     out, ckpt = ingest.stream_folder(spark, "stream_daily")
     ev = _source(spark, sf_dir, "events", "ts", "event_type")
     counts = ingest.daily_counts_stream(ev, "ts", "event_type")
-    ingest.run_each_batch(counts, ingest.overwrite_table(out), ckpt, mode="complete")
-    return spark.read.parquet(out)
+    ingest.run_each_batch(counts, ingest.batch_table(out), ckpt, mode="update")
+    return ingest.latest(spark, out, ["window_start", "window_end", "event_type"], "n")
 
 
 def _stream_scores_sql() -> str:
@@ -71,9 +71,8 @@ def q_stream_scores(spark, sf_dir):
         titles = batch.select("doc_id", title_of("text").alias("title"))
         toks = titles.select("doc_id", sentiment_tokens("title").alias("tokens"))
         scored = nb.classify(toks, model, stats, "doc_id", "tokens", LABELS)
-        (titles.join(scored.select("doc_id", F.col("prediction").alias("sentiment")), "doc_id")
-         .withColumn("batch_id", F.lit(batch_id))
-         .write.mode("append").parquet(out))
+        ingest.batch_table(out)(
+            titles.join(scored.select("doc_id", F.col("prediction").alias("sentiment")), "doc_id"), batch_id)
 
     ingest.run_each_batch(_source(spark, sf_dir, "documents", "doc_id", "text"), score, ckpt)
     return spark.read.parquet(out).select("doc_id", "title", "sentiment")

@@ -68,9 +68,12 @@ def dedup_stream(df: DataFrame, keys: Sequence[str], ts_col: str,
     return df.withWatermark(ts_col, watermark).dropDuplicatesWithinWatermark(list(keys))
 
 
-def daily_counts_stream(df: DataFrame, ts_col: str, group_col: str) -> DataFrame:
-    """The batch ``daily_counts`` expression on a stream."""
-    return daily_counts(df, ts_col, group_col)
+def daily_counts_stream(df: DataFrame, ts_col: str, group_col: str,
+                        watermark: str = DEDUP_WATERMARK) -> DataFrame:
+    """The batch ``daily_counts`` expression on a stream.  A day's state goes
+    once the watermark has passed it; later rows of that day are late."""
+    return daily_counts(df.withColumn(ts_col, F.col(ts_col).cast("timestamp")).withWatermark(ts_col, watermark),
+                        ts_col, group_col)
 
 
 def stream_folder(spark: SparkSession, name: str) -> tuple[str, str]:
@@ -79,20 +82,17 @@ def stream_folder(spark: SparkSession, name: str) -> tuple[str, str]:
     return os.path.join(base, "out"), os.path.join(base, "checkpoint")
 
 
-def overwrite_table(path: str) -> Callable[[DataFrame, int], None]:
-    """foreachBatch writer for complete-mode results: each micro-batch holds
-    the full current result, so the table is replaced."""
+def batch_table(path: str) -> Callable[[DataFrame, int], None]:
+    """foreachBatch writer: each batch replaces its own part of the table, so a
+    replayed batch changes nothing and the others are never touched."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return write
 
 
-def append_table(path: str) -> Callable[[DataFrame, int], None]:
-    """foreachBatch writer that appends, tagging rows with the batch id."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(path)
-
-    return write
+def latest(spark: SparkSession, path: str, keys: Sequence[str], value: str) -> DataFrame:
+    """The last value of each key of an update-mode ``batch_table``."""
+    return (spark.read.parquet(path).groupBy(*keys)
+            .agg(F.max_by(value, "batch_id").alias(value)))
