@@ -156,7 +156,8 @@ def title_of(col: Column | str) -> Column:
     return F.substring_index(c, "\n", 1)
 
 
-# Noise patterns of the sentiment tokenizer (F12): web addresses and @names.
+# Fixed values that must equal the reference's for right results: the noise
+# patterns of the sentiment tokenizer (F12), web addresses and @names.
 URL_PATTERN = r"http[s]?://(?:[a-zA-Z]|[0-9]|[$-_@.&+#]|[!*\(\),]|(?:%[0-9a-fA-F][0-9a-fA-F]))+"
 MENTION_PATTERN = r"(@[A-Za-z0-9_]+)"
 # The word tokenizer cuts contractions off as tokens of their own.

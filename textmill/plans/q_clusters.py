@@ -169,11 +169,18 @@ def _model_inputs(spark, sf_dir):
 
 
 def _fit(spark, sf_dir, k=None):
-    from textmill.operators.kmeans import NUM_CLUSTERS, assign_clusters, fit_kmeans
+    """The fitted model and its assignment.  ``k`` is a number, None for the
+    default of 60, or ``"best"`` for the sweep's best (the presets'
+    ``optimize_k``).  A table of fewer documents than k has one cluster less
+    than documents."""
+    from textmill.operators.kmeans import NUM_CLUSTERS, assign_clusters, best_k, fit_kmeans, k_sweep
 
     from textmill.session import materialize
 
     docs, feats, n = _model_inputs(spark, sf_dir)
+    if k == "best":
+        sweep = spark.createDataFrame(k_sweep(feats), "k int, silhouette double, inertia double")
+        k = best_k(sweep).first().k
     model = fit_kmeans(feats, min(k or NUM_CLUSTERS, max(n - 1, 1)))
     # The assignment feeds sizes, centroids, distances and points; writing it
     # once keeps the model's prediction (which carries all k dense centres)
@@ -216,6 +223,13 @@ def q_kmeans_topics(spark, sf_dir):
     return cl.topic_table(kw, TOP_KEYWORDS).withColumn("snippet", F.array_join("snippet", ", "))
 
 
+@register("kmeans_sizes_best_k")
+def q_kmeans_sizes_best_k(spark, sf_dir):
+    """M5 -> M1: documents per cluster at the k the sweep finds best."""
+    _docs, _model, assign = _fit(spark, sf_dir, "best")
+    return cl.cluster_sizes(assign)
+
+
 @register("article_points")
 def q_article_points(spark, sf_dir):
     """M3 + M7 + M8: distance matrix -> 2-D projection -> point table."""

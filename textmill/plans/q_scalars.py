@@ -65,6 +65,10 @@ _BATCH_SQL = f"strftime(date_trunc('day', ts), '{STAMP_FORMAT_SQL}')"
     f"AND {_BATCH_SQL} < '{AS_OF:%Y-%m-%dT%H%M%S}'"))
 def q_window_scan(spark, sf_dir):
     ev = _event_batches(spark, sf_dir, "event_id", "event_type", "ts")
+    # A batch is a whole day, so the window lies in a range of ts, which the scan
+    # can prune by; the stamps decide within it.
+    first, last = (f"{d:%Y-%m-%d}" for d in (AS_OF - timedelta(days=WINDOW_DAYS), AS_OF + timedelta(days=1)))
+    ev = ev.filter(F.expr(f"ts >= TIMESTAMP_NTZ '{first} 00:00:00' AND ts < TIMESTAMP_NTZ '{last} 00:00:00'"))
     return select_window(ev, AS_OF - timedelta(days=WINDOW_DAYS), AS_OF).drop("ts")
 
 

@@ -15,7 +15,8 @@ from textmill.operators.terms import (
     vocabulary,
 )
 from textmill.plans.catalog import register
-from textmill.plans.corpus import article_corpus
+from textmill.operators.filters import API_MAX_CHARS
+from textmill.plans.corpus import API_PRESET, article_corpus
 from textmill.plans.sqltext import (
     clean_sql,
     corpus_sql,
@@ -56,6 +57,21 @@ def q_keywords_by_group(spark, sf_dir):
     return keywords_by_group(article_corpus(spark, sf_dir), "source", TOP_KEYWORDS)
 
 
+def _api_keywords_sql() -> str:
+    return (f"WITH c AS ({corpus_sql(max_chars=API_MAX_CHARS)}), "
+            f"x AS (SELECT source, unnest(tokens) AS token FROM c), "
+            f"g AS (SELECT source, token, count(*) AS n FROM x GROUP BY source, token), "
+            f"r AS (SELECT source, token, n, row_number() OVER (PARTITION BY source "
+            f"ORDER BY n DESC, token) - 1 AS rank FROM g) "
+            f"SELECT source, rank, token, n FROM r WHERE rank < {TOP_KEYWORDS}")
+
+
+@register("keywords_api_preset", _api_keywords_sql)
+def q_keywords_api_preset(spark, sf_dir):
+    """The API script's preset end to end: its length band as well."""
+    return keywords_by_group(article_corpus(spark, sf_dir, API_PRESET), "source", TOP_KEYWORDS)
+
+
 # -- F1 clean_text, F3 tokenize, J3 tokens_no_stop ---------------------------
 
 @register("clean_text", lambda: f"SELECT doc_id, {clean_sql('text')} AS clean FROM documents")

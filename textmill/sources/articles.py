@@ -10,22 +10,22 @@ from pyspark.sql import functions as F
 
 from textmill.operators.lookup import NO_CATEGORY, lookup_with_default
 
-# Schema of one page of the article API (only the fields the jobs name are
-# typed; others pass through the JSON reader as null-free extras).
+# Schema of one page of the article API: every field of its payload, since rows
+# with any null are dropped later (P3).  Pass a wider schema for further fields.
 PAGE_SCHEMA = ("status string, totalResults bigint, "
                "articles array<struct<source: struct<id: string, name: string>, author: string, "
-               "title: string, description: string, url: string, publishedAt: string, "
-               "content: string>>, _corrupt_record string")
+               "title: string, description: string, url: string, urlToImage: string, "
+               "publishedAt: string, content: string>>, _corrupt_record string")
 CATALOGUE_SCHEMA = "sources array<struct<id: string, name: string, category: string, language: string>>"
 LABELLED_SCHEMA = "label string, text string, _corrupt_record string"
 # Fixed value: the labels the sentiment training file may hold.
 SENTIMENT_LABELS = ["positive", "neutral", "negative"]
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
+def read_pages(spark: SparkSession, path: str, schema: str = PAGE_SCHEMA) -> DataFrame:
     """Raw API pages, one JSON document per line; malformed lines keep their
     text in ``_corrupt_record``."""
-    return (spark.read.schema(PAGE_SCHEMA)
+    return (spark.read.schema(schema)
             .option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", "_corrupt_record")
             .json(path))
@@ -40,8 +40,7 @@ def flatten_pages(pages: DataFrame, scraped_at: datetime | None = None) -> tuple
     ok = pages.filter(F.col("articles").isNotNull())
     rejects = pages.filter(F.col("articles").isNull())
     arts = ok.select(F.explode_outer("articles").alias("a")).filter(F.col("a").isNotNull())
-    arts = arts.select(F.col("a.source.id").alias("source"), "a.author", "a.title", "a.description",
-                       "a.url", "a.publishedAt", "a.content")
+    arts = arts.select("a.*").withColumn("source", F.col("source.id"))
     if scraped_at is not None:
         arts = arts.withColumn("scraping_date", F.lit(scraped_at).cast("timestamp"))
     return arts, rejects

@@ -101,5 +101,21 @@ def write_batches(df: DataFrame, path: str, partition_col: str = "batch_name",
     df.write.mode(mode).format(fmt).partitionBy(partition_col).save(path)
 
 
-__all__ = ["CSV_OPTIONS", "STAMP_FORMAT", "day_batches", "high_water_mark", "load_window",
-           "scan_batches", "select_window", "stamp_text", "union_batches", "write_batches"]
+def append_run(df: DataFrame, path: str, at: datetime, fmt: str = "parquet") -> str:
+    """The articles of one run as the batch named by its time.  The batch's
+    own directory is replaced, so a repeated run does not double it."""
+    name = stamp_text(at)
+    df.write.mode("overwrite").format(fmt).save(f"{path.rstrip('/')}/batch_name={name}")
+    return name
+
+
+def write_points(points: DataFrame, path: str) -> DataFrame:
+    """The point table (or S10: scored titles) as CSV with a header, read
+    back with its schema."""
+    points.write.mode("overwrite").option("header", "true").option("escape", '"').csv(path)
+    return (points.sparkSession.read.schema(points.schema).option("header", "true")
+            .option("escape", '"').option("multiLine", "true").csv(path))
+
+
+__all__ = ["CSV_OPTIONS", "STAMP_FORMAT", "append_run", "day_batches", "high_water_mark", "load_window",
+           "scan_batches", "select_window", "stamp_text", "union_batches", "write_batches", "write_points"]
