@@ -50,9 +50,8 @@ def train(docs: DataFrame, tokens_col: str = "tokens",
     """
     present = docs.select("label", F.explode_outer(F.array_distinct(tokens_col)).alias("token")) \
         .filter(F.col("token").isNotNull())
-    model = (present.groupBy("token").pivot("label", list(labels)).count()
-             .na.fill(0, [*labels]))
-    model = model.select("token", *[F.col(lab).cast("long").alias(f"c_{lab}") for lab in labels])
+    # One conditional count per label: one shuffle by token, combined map-side.
+    model = present.groupBy("token").agg(*[F.count_if(F.col("label") == lab).alias(f"c_{lab}") for lab in labels])
     return model, label_stats(docs, labels)
 
 

@@ -13,6 +13,7 @@ from textmill.operators import clusters as cl
 from textmill.operators.terms import TOP_KEYWORDS, tfidf
 from textmill.plans.catalog import register
 from textmill.plans.q_terms import _terms_corpus, _terms_cte
+from textmill.session import written
 from textmill.sources.tables import table
 
 
@@ -109,6 +110,21 @@ def q_cluster_keywords(spark, sf_dir):
     return kw.select("cluster", "rank", "term", F.round("weight", 6).alias("weight"))
 
 
+def _no_parts_sql() -> str:
+    base = _keywords_sql()
+    return base.replace("FROM ce WHERE weight > 0)", "FROM ce WHERE weight > 0 AND term NOT IN (SELECT unnest("
+                        "string_split(term, ' ')) FROM (SELECT DISTINCT term FROM ce) WHERE term LIKE '% %'))")
+
+
+@register("cluster_keywords_no_parts", _no_parts_sql)
+def q_cluster_keywords_no_parts(spark, sf_dir):
+    """Topic keywords without the words of two-word terms."""
+    vec, assign = _vectors_and_labels(spark, sf_dir)
+    centre = written(cl.centroids(vec, assign), "centroids")
+    kw = cl.cluster_keywords(cl.without_bigram_parts(centre), TOP_KEYWORDS)
+    return kw.select("cluster", "rank", "term", F.round("weight", 6).alias("weight"))
+
+
 def _topic_wide_sql() -> str:
     base = _keywords_sql().replace(
         f"SELECT cluster, rank, term, round(weight, 6) AS weight FROM r WHERE rank < {TOP_KEYWORDS}",
