@@ -433,3 +433,15 @@ def test_components_of_a_long_path(spark):
 
 def test_digest_of_no_items():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
+
+
+def test_labelled_sample_is_bounded(spark):
+    from textmill.llm.common import labelled_sample
+
+    docs = spark.createDataFrame([(1, "b"), (1, "a"), (1, None)] * 50 + [(i, "x") for i in range(2, 60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(1, 0), (None, 1)], "doc_id long, toxic int")
+    rows = labelled_sample(docs, labels, "toxic", 20).collect()
+    assert len(rows) <= 20 and len({r.doc_id for r in rows}) == len(rows)
+    assert all(zlib.crc32(str(r.doc_id).encode()) % 5 for r in rows)
+    whole = {r.doc_id: (r.text, r.label) for r in labelled_sample(docs, labels, "toxic", 1000).collect()}
+    assert 1 not in whole or whole[1] == ("", 1)

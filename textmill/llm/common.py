@@ -43,13 +43,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int) -
     Only rows that are not held out take part.  The ``rows`` smallest hashes of
     the id are chosen among the labels, so the choice is the same on every run
     and the broadcast side of the join holds at most ``rows`` ids, whatever the
-    size of the tables.  A document with contradicting labels counts as 1.
+    size of the tables.  A document with contradicting labels counts as 1; of
+    several texts of one id the smallest is taken, combined before the shuffle.
     """
     chosen = (labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
               .groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
               .orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(rows))
     return (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-            .join(F.broadcast(chosen), "doc_id"))
+            .join(F.broadcast(chosen), "doc_id")
+            .groupBy("doc_id", "label").agg(F.min("text").alias("text")))
 
 
 def worker_cache(name: str) -> dict:
