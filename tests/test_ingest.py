@@ -3,6 +3,8 @@
 import json
 from datetime import datetime
 
+from pyspark.sql import functions as F
+
 from textmill.operators.filters import category_is, fetched_ok
 from textmill.sources.articles import flatten_pages, label_articles, read_catalogue, read_labelled, read_pages
 from textmill.sources.batches import append_run, write_points
@@ -49,3 +51,19 @@ def test_point_table_is_written_and_read_again(spark, tmp_path):
 def test_fetched_pages_only(spark):
     rows = spark.createDataFrame([("ok", 1), ("timeout", 2), (None, 3)], "status string, page_id long")
     assert [r.page_id for r in fetched_ok(rows).collect()] == [1]
+
+
+def test_readme_example(spark, tmp_path):
+    from textmill.operators.terms import keywords_by_group, tfidf, with_vectorizer_terms
+    from textmill.plans.corpus import API_PRESET, prepare_articles
+    from textmill.sources.batches import load_window
+
+    text = "the market and the bank of the city were in the news about money markets " * 3
+    for day in (1, 2):
+        (tmp_path / f"2020-01-0{day}T000000.csv").write_text(f'source,category,description\ns1,business,"{text}"\ns2,world,short\n')
+    batches = load_window(spark, str(tmp_path), to_ts=datetime(2020, 1, 8), days=7,
+                          schema="source string, category string, description string")
+    corpus = prepare_articles(batches, API_PRESET)
+    assert [(r.category, r.lang, r.batch_stamp) for r in corpus.collect()] == [("business", "en", "2020-01-01T000000")]
+    assert {r.token for r in keywords_by_group(corpus, "category", 3).collect()} <= set(text.split())
+    assert tfidf(with_vectorizer_terms(corpus).withColumn("doc_id", F.lit(1)), min_df=1).count() > 5
