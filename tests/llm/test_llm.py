@@ -86,6 +86,26 @@ def test_licences_are_inherited_from_the_nearest_ancestor(spark):
     assert L.scan_licences(files.limit(0), F.split("text", "\n")).count() == 0
 
 
+def test_licence_headers_tags_and_texts_are_found(spark):
+    gpl = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+           "published by the Free Software Foundation, either version {} of the License, or (at your option) any later version.")
+    cases = [("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.'),
+             ("GPL-3.0", gpl.format(3)), ("GPL-2.0", gpl.format(2)), ("MIT", "SPDX-License-Identifier: MIT"),
+             ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
+             ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"), ("CC-BY-SA-4.0", "SPDX-License-Identifier: CC-BY-SA-4.0"),
+             ("proprietary", "Copyright 2020 Foo Inc. All rights reserved."), ("MIT", "Licensed under the MIT License")]
+    prose = "the river runs of old under a bridge and this is what people use to cross it with any person they like "
+    none = [prose, prose * 40, "Free of charge", "SPDX-License-Identifier: LicenseRef-ours", "This program is free to all, you may modify nothing."]
+    rows = [(i, f"d{i}/x", t) for i, (_, t) in enumerate(cases)]
+    rows += [(100 + i, f"e{i}/x", prose * 9 + t + " " + prose * 9) for i, (_, t) in enumerate(cases)]
+    rows += [(200 + i, f"f{i}/x", t) for i, t in enumerate(none)]
+    rows += [(300, "g/x", "Copyright 2020 Foo Inc. All rights reserved. " + cases[3][1]), (301, "d0/y/z", None)]
+    files = spark.createDataFrame(rows, "id long, path string, text string")
+    got = {r.id: r.licence for r in L.scan_licences(files, F.array("text")).collect()}
+    assert got == {**{i + k: c for k in (0, 100) for i, (c, _) in enumerate(cases)}, **{200 + i: None for i in range(len(none))},
+                   300: "MIT", 301: "Apache-2.0"}
+
+
 # -- 3 ----------------------------------------------------------------------
 
 def test_warc_round_trip(spark):

@@ -4,8 +4,18 @@ Every part of a file (a line of text, a text node of a page, or the whole file)
 is a possible licence header or text, a bag of words.  Its cosine with a
 template can only reach the threshold if its known words weigh enough against
 the number of its unknown ones; this bound is an expression over the row, and
-only parts that meet it are exploded and joined with the template words.  The
-best template of all parts of a file is its own licence.
+only parts that meet it are exploded and joined with the template words.
+
+Headers, SPDX tags and the passages that open licence texts (``PASSAGES``) are
+sought in windows of their own length, and so are the notices inside longer
+parts, so that the words around them do not count: every window that begins
+with a word of the passage is scored, with the cosine again.  A part reaches
+this only if it holds enough of a passage's weight, a bound that loses nothing.
+A part no longer than the passage is one window and needs ``threshold``; windows
+inside a longer part are the best of many and need ``WITHIN``, tags all words.
+A file can be one part: its windows then run across line ends.
+
+The best template or passage of all parts of a file is its own licence.
 
 A directory's licence is that of most files in it that have their own.  Files
 without one inherit from the nearest ancestor: each different directory is cut
@@ -17,13 +27,15 @@ package (or a parameter); their number and length are checked before their
 words become literals of the plan.
 
 Defined results: null and empty texts have no licence of their own; files of a
-null path neither give nor inherit one; ties of the cosine and of a directory's
-files go to the smaller licence name; repeated rows give a row each and count
+null path neither give nor inherit one; a reservation of rights found beside a licence
+yields to it; ties of the cosine go to the longer passage and then, like ties of
+a directory's files, to the smaller licence name; repeated rows give a row each and count
 each for their directory; empty tables give no rows; further columns are ignored.
 """
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from math import log, sqrt
 
@@ -47,6 +59,55 @@ TEMPLATES = {
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, version 2.0.",
     "proprietary": "All rights reserved.",
 }
+WITHIN = 0.8
+RESERVED = "proprietary"
+_TAGGED = (
+    "MIT", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0", "BSD-2-Clause", "BSD-3-Clause", "ISC",
+    "MPL-2.0", "EPL-2.0", "Unlicense", "CC0-1.0", "BSL-1.0", "Zlib", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0",
+    "CC-BY-ND-4.0", "CC-BY-NC-SA-4.0", "CC-BY-NC-ND-4.0")
+_FREE = ("This {0} is free software: you can redistribute it and/or modify it under the terms of the GNU {1} as published by "
+         "the Free Software Foundation, either version {2} of the License, or (at your option) any later version.")
+_GNU = (("GPL-2.0", "program", "General Public License", "2", "June 1991"),
+        ("GPL-3.0", "program", "General Public License", "3", "29 June 2007"),
+        ("LGPL-2.1", "library", "Lesser General Public License", "2.1", "February 1999"),
+        ("LGPL-3.0", "library", "Lesser General Public License", "3", "29 June 2007"),
+        ("AGPL-3.0", "program", "Affero General Public License", "3", "19 November 2007"))
+_BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that"
+#: Headers, tags and passages of licence texts: (SPDX name, text).
+PASSAGES = (
+    *((k, f"SPDX-License-Identifier: {k}") for k in _TAGGED),
+    *((k, _FREE.format(what, name, version)) for k, what, name, version, _ in _GNU),
+    *((k, f"GNU {name} Version {version}, {date}") for k, _, name, version, date in _GNU),
+    *((k, f"licensed under the GNU {name} version {version}") for k, _, name, version, _ in _GNU),
+    ("MIT", "licensed under the MIT License"),
+    ("MIT", "licensed under the terms of the MIT License"),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+            "documentation files (the \"Software\"), to deal in the Software without restriction"),
+    ("BSL-1.0", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
+                   "compliance with the License."),
+    ("Apache-2.0", "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004"),
+    ("BSD-2-Clause", f"{_BSD} the following conditions are met: 1. Redistributions of source code must retain the above copyright "
+                     "notice, this list of conditions and the following disclaimer."),
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+                     "products derived from this software without specific prior written permission."),
+    ("BSD-3-Clause", "licensed under the BSD 3-Clause License"),
+    ("BSD-2-Clause", "licensed under the BSD 2-Clause License"),
+    ("MPL-2.0", "If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    ("MPL-2.0", "licensed under the Mozilla Public License, Version 2.0"),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0"),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held "
+             "liable for any damages arising from the use of this software."),
+    *((f"CC-{k.upper().replace(' ', '-')}-4.0", f"licensed under a Creative Commons {name} 4.0 International License")
+      for k, name in (("by", "Attribution"), ("by sa", "Attribution-ShareAlike"), ("by nc", "Attribution-NonCommercial"),
+                      ("by nd", "Attribution-NoDerivatives"), ("by nc sa", "Attribution-NonCommercial-ShareAlike"),
+                      ("by nc nd", "Attribution-NonCommercial-NoDerivatives"))),
+    *((f"CC-{k.replace(' ', '-')}-4.0", f"Licensed under CC {k} 4.0") for k in ("BY SA", "BY ND", "BY NC SA", "BY NC ND")),
+)
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -59,10 +120,12 @@ def _words(text):
 def template_vectors(templates: dict[str, str]) -> tuple[dict[str, dict[str, float]], dict[str, float], float]:
     """({licence: {word: weight}} of unit length, {word: idf}, idf of a word that
     no template has)."""
-    import re
-
     if len(templates) > MAX_TEMPLATES or sum(map(len, templates.values())) > MAX_CHARS:
         raise ValueError(f"more than {MAX_TEMPLATES} templates or {MAX_CHARS} characters")
+    return _vectors(templates)
+
+
+def _vectors(templates: dict[str, str]) -> tuple[dict[str, dict[str, float]], dict[str, float], float]:
     lower = str.maketrans(_UPPER, _LOWER)
     bags = {k: Counter(re.findall(_WORD, t.translate(lower))) for k, t in templates.items()}
     df = Counter(w for b in bags.values() for w in b)
@@ -74,43 +137,133 @@ def template_vectors(templates: dict[str, str]) -> tuple[dict[str, dict[str, flo
     return out, idf, log(1 + len(bags)) + 1
 
 
-def own_licences(parts: DataFrame, templates: dict[str, str], threshold: float = THRESHOLD) -> DataFrame:
-    """(file, licence, score): the best template of each file of ``parts``
-    (file, part, text), where it reaches ``threshold``."""
+def _passage_rows(templates: dict[str, str], passages, threshold: float):
+    """(rows, {word: idf}, idf of an unknown word, words of which every part
+    that can reach a passage has one).  A row is (licence, number of words, least
+    cosine in a longer part, least of a part no longer, {word: idf * weight},
+    {word: squared weight})."""
+    texts = [*templates.items(), *passages]
+    vectors, idf, unknown = _vectors({str(i): t for i, (_, t) in enumerate(texts)})
+    rows, anchors = [], set()
+    for i, (licence, text) in enumerate(texts):
+        v = vectors[str(i)]
+        if not v:
+            continue
+        n = len(re.findall(_WORD, text.translate(str.maketrans(_UPPER, _LOWER))))
+        tag = text.startswith("SPDX-License-Identifier:")
+        inside = 1 - 1e-6 if tag else max(threshold, WITHIN)
+        # Notices are scored by whole parts already, where those are no longer.
+        alone = 2.0 if i < len(templates) else 1 - 1e-6 if tag else threshold
+        rows.append((licence, n, inside, alone, {w: idf[w] * x for w, x in v.items()}, {w: x * x for w, x in v.items()}))
+        left = 1.0
+        for w in sorted(v, key=lambda w: (-v[w], w)):
+            if left < min(inside, alone) ** 2 - 1e-9:
+                break
+            anchors.add(w)
+            left -= v[w] ** 2
+    return rows, idf, unknown, sorted(anchors)
+
+
+def _literal_map(d: dict[str, float]):
+    return F.map_from_arrays(F.array(*[F.lit(w) for w in d]).cast("array<string>"),
+                             F.array(*[F.lit(x) for x in d.values()]).cast("array<double>"))
+
+
+def _once(value):
+    """``value`` as a generated column, so that no filter on it repeats its work."""
+    return F.explode_outer(F.array(value))
+
+
+def _passages_found(near: DataFrame, idf: dict[str, float], unknown: float) -> DataFrame:
+    """(file, licence, n, score) of every part's passages ``ts`` with a window
+    that reaches the least cosine."""
+    weights, zero = _literal_map(idf), F.lit(0.0)
+    weight = lambda w: F.coalesce(F.element_at(weights, w), F.lit(unknown))
+    total = lambda xs: F.aggregate(xs, zero, lambda a, x: a + x)
+    n = F.col("t.n")
+    least = F.when(F.size("ws") > n, F.col("t.inside")).otherwise(F.col("t.alone"))
+    laid = near.select("file", "ws", F.explode("ts").alias("t")).select("file", "ws", "t", least.alias("least"), _once(F.struct(
+        F.transform("ws", lambda w: F.coalesce(F.element_at(F.col("t.dots"), w), zero)).alias("dots"),
+        F.transform("ws", lambda w: F.pow(weight(w), F.lit(2.0))).alias("squares"))).alias("x"))
+
+    def promising(p):
+        # A repeated word adds more to the norm than its squares.
+        low = total(F.slice(F.col("x.squares"), p, n))
+        return ((F.size("ws") <= n) | (F.element_at(F.col("x.dots"), p) > 0)) & (
+            total(F.slice(F.col("x.dots"), p, n)) >= (F.col("least") - 1e-9) * F.sqrt(low))
+
+    def score(p):
+        window = F.slice("ws", p, n)
+        norm = F.aggregate(F.array_distinct(window), zero, lambda a, w: a + F.pow(
+            weight(w) * F.size(F.filter(window, lambda y: y == w)), F.lit(2.0)))
+        return F.round(total(F.slice(F.col("x.dots"), p, n)) / F.sqrt(norm), 6)
+
+    starts = F.filter(F.sequence(F.lit(1), F.when(F.size("ws") > n, F.size("ws")).otherwise(1)), promising)
+    best = laid.select("file", "t", "least", _once(F.array_max(F.transform(starts, score))).alias("score"))
+    return best.filter(F.col("score") >= F.col("least")).select("file", "t.licence", "t.n", "score")
+
+
+def own_licences(parts: DataFrame, templates: dict[str, str], threshold: float = THRESHOLD, passages=()) -> DataFrame:
+    """(file, licence, score): the best template or passage of each file of
+    ``parts`` (file, part, text), where it reaches its least cosine."""
     vectors, idf, unknown = template_vectors(templates)
+    rows, p_idf, p_unknown, anchors = _passage_rows(templates, passages, threshold)
     spark = parts.sparkSession
     known = F.array(*[F.lit(w) for w in sorted(idf)]) if idf else F.array().cast("array<string>")
+    either = F.array(*[F.lit(w) for w in sorted({*idf, *anchors})]).cast("array<string>")
     weights = F.map_from_arrays(known, F.array(*[F.lit(idf[w]) for w in sorted(idf)]).cast("array<double>"))
     ws = F.col("ws")
     # Squared weight of the known words, and the least that the unknown add.
     mass = F.aggregate(F.array_intersect(ws, known), F.lit(0.0), lambda a, w: a + F.pow(
         F.element_at(weights, w) * F.size(F.filter(ws, lambda x: x == w)), F.lit(2.0)))
     rest = F.size(F.array_except(ws, known)) * (unknown * unknown)
-    near = (parts.select("file", "part", _words(F.col("text")).alias("ws"))
-            .filter(F.arrays_overlap("ws", known))
-            .withColumn("mass", mass).filter(F.col("mass") >= (threshold * threshold - 1e-9) * (F.col("mass") + rest))
-            .select("file", "part", F.explode("ws").alias("word")))
-    tf = near.groupBy("file", "part", "word").agg(F.count("*").alias("tf"))
-    rows = [(k, w, x) for k, v in vectors.items() for w, x in v.items()]
-    flat = F.broadcast(spark.createDataFrame(rows, "licence string, word string, weight double"))  # checked above
+    whole = F.arrays_overlap(ws, known) & (mass >= (threshold * threshold - 1e-9) * (mass + rest))
+    # A cosine of c with a passage needs c * c of the passage's squared weight.
+    passage = F.array(*[F.struct(F.lit(k).alias("licence"), F.lit(n).alias("n"), F.lit(i).alias("inside"), F.lit(a).alias("alone"),
+                                 _literal_map(dots).alias("dots"), _literal_map(shares).alias("shares"))
+                        for k, n, i, a, dots, shares in rows])
+    held = F.array_intersect(ws, F.array(*[F.lit(w) for w in p_idf]).cast("array<string>"))
+
+    def reaches(t, words):
+        share = F.aggregate(words, F.lit(0.0), lambda a, w: a + F.coalesce(F.element_at(t["shares"], w), F.lit(0.0)))
+        least = F.when(F.size(ws) > t["n"], t["inside"]).otherwise(t["alone"])
+        return share >= least * least - 1e-9
+
+    has_anchor = F.arrays_overlap(ws, F.array(*[F.lit(w) for w in anchors]).cast("array<string>"))
+    near = (parts.select("file", "part", _once(_words(F.col("text"))).alias("ws"))
+            .filter(F.arrays_overlap("ws", either))
+            .select("file", "part", "ws", _once(F.struct(whole.alias("whole"), F.when(has_anchor, held).alias("held"))).alias("x")))
+    if rows:
+        ts = F.when(F.size("x.held") > 0, F.filter(passage, lambda t: reaches(t, F.col("x.held"))))
+        near = near.select("file", "part", "ws", "x.whole", _once(ts).alias("ts"))
+    else:
+        near = near.select("file", "part", "ws", "x.whole", F.lit(None).cast("array<string>").alias("ts"))
+    near = written(near.filter(F.col("whole") | (F.size("ts") > 0)), "licence-parts")
+    tf = near.filter("whole").select("file", "part", F.explode("ws").alias("word")).groupBy("file", "part", "word").agg(F.count("*").alias("tf"))
+    flat = [(k, w, x) for k, v in vectors.items() for w, x in v.items()]
+    flat = F.broadcast(spark.createDataFrame(flat, "licence string, word string, weight double"))  # checked above
     weighed = tf.withColumn("w", F.col("tf") * F.coalesce(F.element_at(weights, F.col("word")), F.lit(unknown)))
     norms = weighed.groupBy("file", "part").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     dots = weighed.join(flat, "word").groupBy("file", "part", "licence").agg(F.sum(F.col("w") * F.col("weight")).alias("dot"))
     scored = dots.join(norms, ["file", "part"]).withColumn("score", F.round(F.col("dot") / F.col("norm"), 6))
-    best = F.min(F.struct((-F.col("score")).alias("minus"), "licence")).alias("best")
-    return (scored.filter(F.col("score") >= threshold).groupBy("file").agg(best)
-            .select("file", "best.licence", (-F.col("best.minus")).alias("score")))
+    found = (scored.filter(F.col("score") >= threshold)
+             .select("file", F.lit(False).alias("last"), "score", F.lit(0).alias("n"), "licence"))
+    if rows:
+        inside = _passages_found(near.filter(F.size("ts") > 0), p_idf, p_unknown)
+        found = found.union(inside.select("file", (F.col("licence") == RESERVED).alias("last"), "score", "n", "licence"))
+    best = F.min(F.struct("last", (-F.col("score")).alias("minus"), (-F.col("n")).alias("short"), "licence")).alias("best")
+    return found.groupBy("file").agg(best).select("file", "best.licence", (-F.col("best.minus")).alias("score"))
 
 
 def scan_licences(files: DataFrame, pieces, templates: dict[str, str] = TEMPLATES,
-                  threshold: float = THRESHOLD) -> DataFrame:
+                  threshold: float = THRESHOLD, passages=PASSAGES) -> DataFrame:
     """(id, path, own_licence, score, licence, from_directory) of every row of
     ``files`` (id, path, text).  ``pieces`` is an expression that cuts ``text``
     into an array of parts; ``from_directory`` is null for own licences."""
     file = F.xxhash64("id", "path", "text").alias("file")
     directory = F.regexp_extract("path", r"(?s)^(.*)/[^/]*$", 1)
     parts = files.select(file, F.posexplode(pieces).alias("part", "text"))
-    own = own_licences(parts, templates, threshold).withColumnRenamed("licence", "own_licence")
+    own = own_licences(parts, templates, threshold, passages).withColumnRenamed("licence", "own_licence")
     lean = written(files.select("id", "path", file, F.when(F.col("path").isNotNull(), directory).alias("dir"))
                    .join(own, "file", "left"), "own-licences")
     votes = lean.filter("own_licence is not null and dir is not null").groupBy("dir", "own_licence").agg(F.count("*").alias("n"))
