@@ -165,6 +165,15 @@ def test_automaton_equals_edit_distance():
             assert found[i] == (terms.index(w + "$"), 0)
 
 
+def test_a_stem_keeps_its_words_misspellings():
+    terms = T.without_nested({"pathetic$": 100, "pathet": 110, "patheti$": 4, "path$": 3, "pathe": 111, "drab": 50, "drabnok$": 49})
+    assert sorted(terms) == ["drabnok$", "path$", "pathet", "patheti$", "pathetic$"]
+    auto = T.Automaton(terms)
+    at, which, _ = auto.matches("pothetic pathetisch athetic harmless", auto.letter_classes())
+    assert [(p, terms[auto.accepts[w][0]], auto.accepts[w][1]) for p, w in zip(at.tolist(), which)] == [
+        (0, "pathetic$", 1), (9, "pathet", 0), (20, "pathetic$", 1)]
+
+
 def test_toxicity_learns_and_separates_quotation(spark):
     rng = random.Random(5)
     rows, labels = [], []

@@ -84,12 +84,22 @@ def lexicon(sample: DataFrame, max_terms: int = MAX_TERMS, least: float = LEAST_
             .withColumn("g2", 2 * (part(a, F.col("n") * r) + part(b, F.col("n") * (1 - r))))
             .filter(F.col("g2") >= least).orderBy(F.desc("g2"), "term").limit(20 * max_terms).collect())
     docs = {x.term: x.a for x in rows}
-    # Of nested terms with nearly the same documents the longest stays; what a
-    # kept stem begins needs no term of its own.
-    own = [t for t in docs if t.endswith("$")
-           or not any(u != t and u.startswith(t) and docs[u] >= 0.95 * docs[t] for u in docs)]
-    own = [t for t in own if not any(u != t and not u.endswith("$") and t.startswith(u) for u in own)]
-    return sorted(own, key=lambda t: (-docs[t], t))[:max_terms]
+    return sorted(without_nested(docs), key=lambda t: (-docs[t], t))[:max_terms]
+
+
+def without_nested(docs: dict[str, int]) -> list[str]:
+    """Of nested terms with nearly the same documents the longest stays; what a
+    kept stem begins needs no term of its own, but for the whole words that
+    match with a spelling error: a stem matches exactly only."""
+    longer: dict[str, int] = {}
+    for u, n in docs.items():
+        for k in STEMS:
+            if len(u) > k:
+                longer[u[:k]] = max(n, longer.get(u[:k], 0))
+    own = [t for t in docs if t.endswith("$") or longer.get(t, -1) < 0.95 * docs[t]]
+    stems = {t for t in own if not t.endswith("$")}
+    return [t for t in own if (t.endswith("$") and len(t) > FUZZY_FROM)
+            or not any(len(t) > k and t[:k] in stems for k in STEMS)]
 
 
 # -- automaton -------------------------------------------------------------
