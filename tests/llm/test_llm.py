@@ -174,6 +174,39 @@ def test_a_stem_keeps_its_words_misspellings():
         (0, "pathetic$", 1), (9, "pathet", 0), (20, "pathetic$", 1)]
 
 
+@pytest.mark.parametrize("part_terms", [1, 7, 1000])
+def test_parts_of_a_lexicon_match_like_one_automaton(part_terms):
+    rng = random.Random(11)
+    whole = sorted({w + "$" for w in rand_words(rng, 60, "abcé", 3, 8)})
+    terms = T.without_nested({t: rng.randint(3, 9) for t in {*whole, *(t[:5] for t in whole[::3] if len(t) > 6)}})
+    assert any(not t.endswith("$") for t in terms)
+    one, parts = T.Automaton(terms), T.Automata(terms, part_terms)
+    text = " ".join(rand_words(rng, 3000, "abcdé", 1, 9)) + "\n中文 x"
+    found = [[(int(p), a.accepts[w]) for p, w in zip(*a.matches(text, a.letter_classes())[:2])] for a in (one, parts)]
+    assert found[0] and found[0] == found[1]
+
+
+def test_copies_are_evidence_once():
+    a, b = frozenset(range(10)), frozenset(range(20, 32))
+    assert T._first_copies([a, b, a, a | {50}, frozenset([1]), frozenset([1]), a | b, frozenset()]) == [0, 1, 4, 5, 7]
+    assert T._first_copies([a, frozenset(range(8, 18)), b]) == [0, 1, 2]
+
+
+def test_every_significant_term_scores(spark):
+    rng = random.Random(12)
+    vile = list(dict.fromkeys(rand_words(rng, 150, "qxyzvwjk", 8, 9)))
+    bag = [w for w in vile for _ in range(12)]
+    rng.shuffle(bag)
+    toxic = [bag[i:i + 3] for i in range(0, len(bag), 3)]
+    ids = [i for i in range(9 * len(toxic)) if zlib.crc32(str(i).encode()) % 5][:5 * len(toxic)]  # never held out
+    rows = [(i, " ".join(rand_words(rng, 12) + (toxic[k] if k < len(toxic) else []))) for k, i in enumerate(ids)]
+    probe = [(100_000 + i, "a plain text with " + w) for i, w in enumerate(vile)] + [(200_000, "a plain text with nothing")]
+    labels = spark.createDataFrame([(i, int(k < len(toxic)), 1) for k, i in enumerate(ids)], "doc_id long, toxic int, quality int")
+    got = {r.doc_id: r.score for r in T.toxicity(docs_of(spark, rows + probe), labels).collect()}
+    assert len(got) == len(rows) + len(probe)
+    assert [w for i, w in enumerate(vile) if got[100_000 + i] <= got[200_000] + 0.1] == []
+
+
 def test_toxicity_learns_and_separates_quotation(spark):
     rng = random.Random(5)
     rows, labels = [], []

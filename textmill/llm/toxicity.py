@@ -5,13 +5,15 @@
 2. Matching: the lexicon is a trie; its intersection with Levenshtein automata
    of distance one (for words of ``FUZZY_FROM`` letters or more; stems and
    short words match exactly) is made deterministic once and runs over whole
-   texts as table look-ups, all words of a batch at a time.
+   texts as table look-ups, all words of a batch at a time.  Every
+   ``PART_TERMS`` terms have an automaton of their own; of the matches of one
+   word the one counts that a single automaton would find.
 3. Context: a match with quotation marks around it within ``CONTEXT``
    characters of its line counts as quotation and only in part.
 4. Score: a logistic model of the strongest match, the summed matches and
    their density, fitted on the same bounded sample.
 
-Only the model (a few hundred terms) is broadcast, documents are scored where
+Only the model (the terms that the sample bears out, all of them) is broadcast, documents are scored where
 they are read, and nothing but the sample is shuffled.
 
 Defined results: null and empty texts have no match and get the score of a
@@ -34,7 +36,8 @@ from textmill.llm.common import filter_rows, held_out, labelled_sample, map_rows
 from textmill.session import written
 
 TRAIN_ROWS = 8_000
-MAX_TERMS = 120
+PART_TERMS = 500
+COPY_HITS = 8
 LEAST_G2 = 20.0
 FUZZY_FROM = 5
 CONTEXT = 80
@@ -58,8 +61,9 @@ def candidates(text: str) -> set[str]:
     return out
 
 
-def lexicon(sample: DataFrame, max_terms: int = MAX_TERMS, least: float = LEAST_G2) -> list[str]:
-    """At most ``max_terms`` terms of the sample (doc_id, text, label)."""
+def lexicon(sample: DataFrame, least: float = LEAST_G2) -> list[str]:
+    """All significant terms of the sample (doc_id, text, label); the sample's
+    size bounds them."""
     n1, n = sample.agg(F.sum("label"), F.count("*")).first()
     if not n1 or n1 == n:
         return []
@@ -82,9 +86,9 @@ def lexicon(sample: DataFrame, max_terms: int = MAX_TERMS, least: float = LEAST_
             .groupBy("term").agg(F.sum("n").alias("n"), F.sum("a").alias("a"))
             .filter((a >= 3) & (a * 2 > F.col("n")))
             .withColumn("g2", 2 * (part(a, F.col("n") * r) + part(b, F.col("n") * (1 - r))))
-            .filter(F.col("g2") >= least).orderBy(F.desc("g2"), "term").limit(20 * max_terms).collect())
+            .filter(F.col("g2") >= least).select("term", "a").collect())
     docs = {x.term: x.a for x in rows}
-    return sorted(without_nested(docs), key=lambda t: (-docs[t], t))[:max_terms]
+    return sorted(without_nested(docs), key=lambda t: (-docs[t], t))
 
 
 def without_nested(docs: dict[str, int]) -> list[str]:
@@ -192,20 +196,17 @@ class Automaton:
 
     def letter_classes(self) -> np.ndarray:
         """Class of every code point."""
-        cache = worker_cache("letters")
-        if "is" not in cache:
-            cache["is"] = np.fromiter((chr(i).isalpha() for i in range(0x110000)), np.uint8, 0x110000)
-        out = cache["is"].copy()
-        for c, i in self.classes.items():
-            out[ord(c)] = i
-        return out
+        return _letter_classes(self.classes)
 
     def matches(self, text: str, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(start of the word, accepted index) of every match in lower-case
         ``text``, in order, and where all words start."""
-        cls = classes[np.frombuffer((text + " ").encode("utf-32-le", "replace"), np.uint32)]
-        letter = cls > 0
-        starts = np.flatnonzero(letter & ~np.concatenate(([False], letter[:-1])))
+        cls, starts = _classed(text, classes)
+        return *self.run(cls, starts), starts
+
+    def run(self, cls: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(start of the word, accepted index) of every match, in order, in a
+        text given as letter classes."""
         at, begun = starts, starts
         state = np.ones(len(starts), np.int32)
         found_at, found = [], []
@@ -218,10 +219,70 @@ class Automaton:
             on = (state > 0) & ~hit
             at, begun, state = at[on] + 1, begun[on], state[on]
         if not found:
-            return np.empty(0, np.int64), np.empty(0, np.int64), starts
+            return np.empty(0, np.int64), np.empty(0, np.int64)
         found_at, found = np.concatenate(found_at), np.concatenate(found)
         order = np.argsort(found_at, kind="stable")
-        return found_at[order], found[order], starts
+        return found_at[order], found[order]
+
+
+def _letter_classes(letters: dict[str, int]) -> np.ndarray:
+    """Class of every code point: 0 no letter, 1 a letter not among ``letters``."""
+    cache = worker_cache("letters")
+    if "is" not in cache:
+        cache["is"] = np.fromiter((chr(i).isalpha() for i in range(0x110000)), np.uint8, 0x110000)
+    out = cache["is"].astype(np.uint8 if len(letters) < 250 else np.uint32)
+    for c, i in letters.items():
+        out[ord(c)] = i
+    return out
+
+
+def _classed(text: str, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Classes of the letters of ``text`` and of a blank, and where words start."""
+    cls = classes[np.frombuffer((text + " ").encode("utf-32-le", "replace"), np.uint32)]
+    letter = cls > 0
+    return cls, np.flatnonzero(letter & ~np.concatenate(([False], letter[:-1])))
+
+
+class Automata:
+    """Automata of at most ``part_terms`` terms each that give the matches of a
+    single one: in a word a stem, else the least distance and of these the first
+    term.  ``accepts`` is (term, distance) as in ``Automaton``."""
+
+    def __init__(self, terms: list[str], part_terms: int = PART_TERMS):
+        order = sorted(range(len(terms)), key=lambda i: terms[i])  # neighbours share states
+        self.accepts: list[tuple[int, int]] = []
+        self.parts: list[tuple[Automaton, int]] = []  # with the number of its first outcome
+        for i in range(0, len(order), part_terms):
+            ids = sorted(order[i:i + part_terms])
+            part = Automaton([terms[j] for j in ids])
+            self.parts.append((part, len(self.accepts)))
+            self.accepts += [(ids[t], e) for t, e in part.accepts]
+        self.classes = {c: i + 2 for i, c in enumerate(sorted({c for p, _ in self.parts for c in p.classes}))}
+        # Class in a part of every common class.
+        self.own = [np.array([0, 1, *(p.classes.get(c, 1) for c in self.classes)], np.uint32) for p, _ in self.parts]
+        rank = sorted(range(len(self.accepts)), key=lambda k: (terms[self.accepts[k][0]].endswith("$"), *self.accepts[k][::-1]))
+        self.rank = np.empty(len(rank), np.int64)
+        self.rank[rank] = np.arange(len(rank))
+
+    def letter_classes(self) -> np.ndarray:
+        """Class of every code point."""
+        return _letter_classes(self.classes)
+
+    def matches(self, text: str, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As ``Automaton.matches``."""
+        cls, starts = _classed(text, classes)
+        at, which = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for (part, first), own in zip(self.parts, self.own):
+            found_at, found = part.run(own[cls] if len(self.parts) > 1 else cls, starts)
+            at.append(found_at)
+            which.append(found + first)
+        at, which = np.concatenate(at), np.concatenate(which)
+        if len(self.parts) > 1:
+            order = np.lexsort((self.rank[which], at))
+            at, which = at[order], which[order]
+            best = np.concatenate(([True], at[1:] != at[:-1]))[:len(at)]
+            at, which = at[best], which[best]
+        return at, which, starts
 
 
 def quoted(text: str, start: int, window: int = CONTEXT) -> bool:
@@ -234,7 +295,7 @@ def quoted(text: str, start: int, window: int = CONTEXT) -> bool:
 
 # -- scoring ---------------------------------------------------------------
 
-def _hits(texts: list[str | None], automaton: Automaton, classes: np.ndarray):
+def _hits(texts: list[str | None], automaton: Automata, classes: np.ndarray):
     """(words, [(accepted index, quoted)]) of each text; short texts are run
     together, so that the table look-ups work on long arrays."""
     out, i = [], 0
@@ -282,11 +343,26 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
     return w
 
 
+def _first_copies(hits: list[frozenset[int]]) -> list[int]:
+    """Positions without the near copies of an earlier one: ``COPY_HITS`` or more
+    matches, and at least half of all matches of both in common."""
+    firsts, postings = [], {}
+    for r, own in enumerate(hits):
+        if len(own) >= COPY_HITS:
+            shared = Counter(f for i in own for f in postings.get(i, ()))
+            if any(2 * n >= len(own) + len(hits[f]) - n for f, n in shared.items()):
+                continue
+            for i in own:
+                postings.setdefault(i, []).append(r)
+        firsts.append(r)
+    return firsts
+
+
 class Model:
-    """A fitted scorer: automaton, weight of each accepted outcome, logistic weights."""
+    """A fitted scorer: automata, weight of each accepted outcome, logistic weights."""
 
     def __init__(self, terms, weights=None, line=None):
-        self.automaton, self.weights, self.line = Automaton(terms), weights, line
+        self.automaton, self.weights, self.line = Automata(terms), weights, line
 
     def score(self, texts: list[str | None], classes: np.ndarray) -> list[float]:
         x = np.array([_features(n, h, self.weights) for n, h in _hits(texts, self.automaton, classes)]).reshape(-1, 3)
@@ -311,11 +387,16 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Mod
 
     rows = map_rows(sample.select("text", "label"), run,
                     "label int, n_words bigint, which array<int>, quoted array<boolean>").collect()  # at most train_rows
+    # Copies of one toxic document are evidence once: their rarer words are no terms of their own.
     docs_with = [Counter(), Counter()]
+    toxic = [frozenset(r.which) for r in sorted(rows, key=lambda r: (r.n_words, r.which)) if r.label]
+    firsts = _first_copies(toxic)
+    for i in firsts:
+        docs_with[1].update(toxic[i])
     for r in rows:
-        docs_with[r.label].update(set(r.which))
-    n1 = max(1, sum(r.label for r in rows))
-    n0 = max(1, len(rows) - n1)
+        if not r.label:
+            docs_with[0].update(set(r.which))
+    n1, n0 = max(1, len(firsts)), max(1, len(rows) - len(toxic))
     accepts = model.automaton.accepts
 
     def odds(i: int) -> float:
