@@ -26,3 +26,16 @@ def test_entry_smoke(spark):
     assert df.columns == ["source", "rank", "token", "n"]
     assert df.count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_entry_stands_without_the_optional_subpackage():
+    import os
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = ("import sys; sys.modules['xxhash'] = None; import __spark_entry__ as e; "
+            "n = sorted(e.queries()); print(len(n), any(x.startswith('op') or x == 'pipeline' for x in n), len(e.oracle_sql()))")
+    done = subprocess.run([sys.executable, "-W", "ignore", "-c", code], cwd=repo, capture_output=True, text=True, timeout=120)
+    count, llm, sql = done.stdout.split()
+    assert int(count) >= 60 and llm == "False" and int(sql) >= 50, done.stderr

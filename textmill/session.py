@@ -66,10 +66,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     The cluster names it in ``spark.checkpoint.dir``.  Only where that is
-    unset (tests, a laptop) a sub-folder of the warehouse, which executors
-    share as well, is used; never a machine-local temporary folder.
+    unset, and only in a local session (tests, a laptop), a sub-folder of the
+    warehouse is used; on a cluster its default is no shared place, so the
+    setting is required there.
     """
     configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not configured and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     folder = configured or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)
