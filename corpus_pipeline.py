@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from textmill.llm import decontaminate, quality, toxicity
 from textmill.llm.common import table
@@ -35,11 +36,15 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each SimHash group the document with the smallest doc_id stays (all
-    rows of that id, if it repeats); a null doc_id cannot be named and stays."""
+    """Of each SimHash group the document with the smallest doc_id stays (its
+    row, if that repeats, with it).  An id may stand on different texts: each of
+    its rows goes or stays by its own group.  Rows without an id go where the
+    group has one, and stay where it has none."""
     groups = simhash_groups(docs, shingle=4, max_bits=4)
-    return docs.join(groups.filter("doc_id <> component_id").select("doc_id").distinct(), "doc_id", "left_anti") \
-        .select(*docs.columns)
+    gone = (groups.filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
+            .select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")).distinct())
+    same = docs["doc_id"].eqNullSafe(gone["gone_id"]) & (F.xxhash64(docs["text"]) == gone["gone_hash"])
+    return docs.join(gone, same, "left_anti")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
