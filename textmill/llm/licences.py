@@ -142,6 +142,8 @@ def _passage_rows(templates: dict[str, str], passages, threshold: float):
     that can reach a passage has one).  A row is (licence, number of words, least
     cosine in a longer part, least of a part no longer, {word: idf * weight},
     {word: squared weight})."""
+    if len(passages) > MAX_TEMPLATES or sum(len(t) for _, t in passages) > MAX_CHARS:
+        raise ValueError(f"more than {MAX_TEMPLATES} passages or {MAX_CHARS} characters")
     texts = [*templates.items(), *passages]
     vectors, idf, unknown = _vectors({str(i): t for i, (_, t) in enumerate(texts)})
     rows, anchors = [], set()
@@ -270,7 +272,9 @@ def scan_licences(files: DataFrame, pieces, templates: dict[str, str] = TEMPLATE
     of_dir = (votes.groupBy("dir").agg(F.min(F.struct((-F.col("n")).alias("minus"), "own_licence")).alias("best"))
               .select(F.col("dir").alias("at"), F.col("best.own_licence").alias("inherited")))
     steps = F.split("dir", "/")
-    ups = F.transform(F.sequence(F.lit(1), F.size(steps)), lambda i: F.array_join(F.slice(steps, F.lit(1), i), "/"))
+    # Of relative paths the root directory, '', is above every other.
+    ups = F.array_union(F.array(F.lit("")), F.transform(
+        F.sequence(F.lit(1), F.size(steps)), lambda i: F.array_join(F.slice(steps, F.lit(1), i), "/")))
     lacking = lean.filter("own_licence is null and dir is not null").select("dir").distinct()
     nearest = (lacking.select("dir", F.explode(ups).alias("at")).join(of_dir, "at")
                .groupBy("dir").agg(F.max(F.struct(F.length("at").alias("long"), "at", "inherited")).alias("up"))
@@ -325,7 +329,7 @@ od AS (SELECT dir AS up_dir, own_licence AS inherited FROM (
   SELECT *, row_number() OVER (PARTITION BY dir ORDER BY n DESC, own_licence) AS rn FROM v) WHERE rn = 1),
 up AS (SELECT dir, up_dir, inherited FROM (
   SELECT d.dir, od.up_dir, inherited, row_number() OVER (PARTITION BY d.dir ORDER BY length(up_dir) DESC) AS rn
-  FROM (SELECT DISTINCT dir FROM f WHERE own_licence IS NULL) d JOIN od ON d.dir = up_dir OR starts_with(d.dir, up_dir || '/')) WHERE rn = 1)
+  FROM (SELECT DISTINCT dir FROM f WHERE own_licence IS NULL) d JOIN od ON d.dir = up_dir OR up_dir = '' OR starts_with(d.dir, up_dir || '/')) WHERE rn = 1)
 SELECT page_id, path, own_licence, score, coalesce(own_licence, inherited) AS licence,
        CASE WHEN own_licence IS NULL THEN up_dir END AS from_directory
 FROM f LEFT JOIN up USING (dir)
