@@ -16,8 +16,9 @@ Defined results: vectors that are null or hold null or non-finite components
 take no part; vectors of different length have no score; a query row excludes
 itself once, other rows of its id are candidates; repeated query rows get a
 list each; null ids are candidates after all others and never queries;
-components are clipped to +-2**26 after scaling, so that scores fit; empty
-tables give no rows; further columns are ignored.
+a vector so long that its scores may leave 64 bits (a squared length of 2**62
+after scaling) fails the query; empty tables give no rows; further columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from textmill.llm.common import map_rows, table
 
 QUERY_BLOCK = 1024
 SEGMENTS = (4, 16)
-_CLIP = 2 ** 26
+_LONGEST = 2.0 ** 62
 _LAST = 2 ** 63 - 1
 
 
@@ -38,7 +39,9 @@ def scaled(frame: DataFrame, factor: int) -> DataFrame:
     """(vec_id, v): integer vectors of the rows that take part."""
     x = F.transform("embedding", lambda c: c.cast("double"))
     good = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
-    whole = F.transform(x, lambda c: F.greatest(F.least(F.floor(c * factor), F.lit(_CLIP)), F.lit(-_CLIP)).cast("bigint"))
+    length = F.aggregate(x, F.lit(0.0), lambda a, c: a + F.pow(F.floor(c * factor).cast("double"), F.lit(2.0)))
+    too_long = F.raise_error(F.lit("a vector's inner products may leave 64 bits")).cast("array<bigint>")
+    whole = F.when(length < _LONGEST, F.transform(x, lambda c: F.floor(c * factor).cast("bigint"))).otherwise(too_long)
     return frame.filter(F.col("embedding").isNotNull() & F.coalesce(good, F.lit(False))).select("vec_id", whole.alias("v"))
 
 
