@@ -1,11 +1,13 @@
 """Token totals by source, language and tokenizer version, kept by deltas.
 
 Every batch of signed changes (inserts, deletes, revised counts) is summed to
-a few rows per group and written as the batch's own part of a table.  Totals
-are the sum over the parts of all committed batches, so they never need the
-documents again.  A batch is committed by its id: written beside the table
-first, then renamed to its place.  Committing an id again changes nothing,
-whether the first try ended or not.
+a few rows per group and written as a part of the batch's folder.  Totals
+are the sum over one part of every committed batch, so they never need the
+documents again.  A part is written beside the table first, then renamed to a
+name of its own, so no writer can disturb another.  Committing an id again
+changes nothing, whether the first try ended or not; of writers that commit one
+id at the same moment, each unaware of the others, the part first in name order
+counts alone.
 
 Sums are combined before the shuffle: a source with a third of all rows costs a
 row per task.
@@ -19,6 +21,7 @@ rows; further columns are ignored.
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -72,27 +75,31 @@ class Rollup:
     def _place(self, batch: str):
         if not batch or not all(c.isalnum() or c in "-." for c in batch) or batch.startswith("."):
             raise ValueError("a batch id is letters, digits, dots and dashes")
-        return self._path(f"{self.path}/batches/batch={batch}")
+        return f"{self.path}/batches/batch=id-{batch}"  # never read as a number
+
+    def _parts(self, batch: str) -> list[str]:
+        place = self._path(self._place(batch))
+        return sorted(s.getPath().getName() for s in self._fs.listStatus(place)) if self._fs.exists(place) else []
 
     def commit(self, batch: str, change_rows: DataFrame) -> bool:
         """Add a batch; False if its id is committed already."""
-        place = self._place(batch)
-        if self._fs.exists(place):
+        if self._parts(batch):
             return False
         rows = signed(change_rows).groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
-        aside = f"{self.path}/trying/{uuid.uuid4().hex}"
+        part = f"part=p{time.time_ns():020d}-{uuid.uuid4().hex}"
+        aside = f"{self.path}/trying/{part}"
         rows.write.parquet(aside)
-        if not self._fs.rename(self._path(aside), place):
-            if self._fs.exists(place):  # another writer was first
-                return False
+        self._fs.mkdirs(self._path(self._place(batch)))
+        if not self._fs.rename(self._path(aside), self._path(f"{self._place(batch)}/{part}")):
             raise OSError(f"batch {batch} could not be put in its place")
-        return True
+        return self._parts(batch)[0] == part
 
     def totals(self) -> DataFrame:
         """(source, lang, tokenizer, n_docs, n_tokens) over all committed batches."""
-        schema = "source string, lang string, tokenizer string, docs bigint, tokens bigint"
-        parts = self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{self.path}/batches")
-        return (parts.groupBy(*KEYS).agg(F.sum("docs").alias("n_docs"), F.sum("tokens").alias("n_tokens"))
+        schema = "source string, lang string, tokenizer string, docs bigint, tokens bigint, batch string, part string"
+        rows = self.spark.read.schema(schema).parquet(f"{self.path}/batches")
+        counted = rows.groupBy("batch").agg(F.min("part").alias("part"))  # a row per batch
+        return (rows.join(counted, ["batch", "part"], "left_semi").groupBy(*KEYS).agg(F.sum("docs").alias("n_docs"), F.sum("tokens").alias("n_tokens"))
                 .filter("n_docs <> 0 or n_tokens <> 0"))
 
 
