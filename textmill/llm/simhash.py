@@ -11,6 +11,8 @@ Rows of one cell meet in one task, where the Hamming distance is verified.
 Only a spanning forest of the links of a cell is kept, never all its pairs.  A
 cell with more than ``CELL_ROWS`` different fingerprints is not held in one
 task: its rows are passed on and cut again by the quarters of the other half.
+What is overfull even then is cut in blocks, and every two blocks meet in a task
+of their own, which holds about ``CELL_ROWS`` rows at once.
 
 Defined results: null and empty texts have fingerprint zero and are linked
 like any other; repeated rows give repeated rows of one component; a null
@@ -60,13 +62,14 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
-    """(doc_id, fp): one row per document, whole texts, no shuffle."""
+    """(doc_id, text_hash, fp): one row per document, whole texts, no shuffle."""
     def run(batches):
         for b in batches:
-            yield {"doc_id": b["doc_id"], "fp": [fingerprint(t, shingle) for t in b["text"]]}
+            yield {"doc_id": b["doc_id"], "text_hash": b["text_hash"], "fp": [fingerprint(t, shingle) for t in b["text"]]}
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_rows(docs.select("doc_id", "text"), run, f"doc_id {kind}, fp bigint")
+    return map_rows(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")), run,
+                    f"doc_id {kind}, text_hash bigint, fp bigint")
 
 
 def bit_counts(fps: np.ndarray) -> np.ndarray:
@@ -233,13 +236,29 @@ def links(fps: DataFrame, max_bits: int = 4, cell_rows: int = CELL_ROWS) -> Data
     rest = found.filter("cell is not null").select("side", "cell", F.col("a").alias("fp"))
     edges = found.filter("cell is null").select("a", "b")
     if rest.limit(1).count():
-        again = _links(_cells_again(rest, max_bits), max_bits, None)
-        edges = edges.unionByName(again.select("a", "b"))
+        again = written(_links(_cells_again(rest, max_bits), max_bits, cell_rows), "links")
+        edges = edges.unionByName(again.filter("cell is null").select("a", "b"))
+        dense = again.filter("cell is not null").select("side", "cell", F.col("a").alias("fp"))
+        if dense.limit(1).count():
+            edges = edges.unionByName(_links(_blocks(dense, cell_rows), max_bits, None).select("a", "b"))
     return edges
 
 
+def _blocks(dense: DataFrame, cell_rows: int) -> DataFrame:
+    """Rows of cells that stay overfull, dealt so that any two rows of a cell meet:
+    blocks of half the limit, a new cell for every two of them."""
+    sizes = dense.groupBy("side", "cell").agg(F.ceil(2 * F.count("*") / cell_rows).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("fp"), F.col("blocks"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    pair = F.xxhash64("side", "cell", F.least("own", "other"), F.greatest("own", "other"))
+    return (dense.join(sizes, ["side", "cell"]).select("side", "cell", "fp", own.alias("own"), other)
+            .select("side", pair.alias("cell"), "fp"))
+
+
 def simhash_groups(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
-    """(doc_id, fp, component_id) for every row of ``docs`` (doc_id, text).
+    """(doc_id, text_hash, fp, component_id) for every row of ``docs`` (doc_id,
+    text); ``text_hash`` is Spark's 64-bit hash of the text and tells rows of one
+    id apart.
 
     Copies share one fingerprint, which enters the search once, however many
     documents have it."""
@@ -256,7 +275,7 @@ def simhash_groups(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> Data
     # that very many documents share is split at run time.
     by_fp = written(different.join(of_linked, "fp", "left")
                     .select("fp", F.coalesce("component_id", "least").alias("component_id")), "components")
-    return fps.join(by_fp, "fp").select("doc_id", "fp", "component_id")
+    return fps.join(by_fp, "fp").select("doc_id", "text_hash", "fp", "component_id")
 
 
 def op10_simhash_near_dedup(spark, sf_dir):
