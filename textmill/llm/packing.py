@@ -6,7 +6,8 @@ checksum) are shuffled.  They are dealt over partitions of about
 functions give a lower bound of the bins that a partition's pieces need.  A
 partition that reaches its bound is certified and done; so are its full bins
 elsewhere.  The other pieces of partitions with a gap are exchanged: dealt
-anew together and packed again, as long as that saves sequences.
+anew together and packed again, until that saves no sequence.  Rows are dealt by
+their number, so repeated rows do not meet in one task.
 
 Defined results: null and empty texts are the end id alone; a document longer
 than a sequence is cut into whole sequences and a rest; repeated rows are
@@ -17,6 +18,7 @@ columns are ignored.
 from __future__ import annotations
 
 import zlib
+from itertools import count
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -28,7 +30,6 @@ from textmill.session import written
 SEQUENCE = 4096
 END_ID = 1
 PART_ROWS = 20_000
-ROUNDS = 4
 CACHED = 400_000
 TOKENIZER = "word_bpe_49k.json"
 #: One pre-token of the vocabulary's own splitting rule (fixed by its file).
@@ -214,16 +215,19 @@ def _packed(open_pieces: DataFrame, rows: int, salt: int, capacity: int, part_ro
                 "sequence_id": [first + x for x in bins[lo:lo + 10_000]], "offset": offsets[lo:lo + 10_000],
                 "open": [gap and rooms[x] > 0 for x in bins[lo:lo + 10_000]]}
 
-    dealt = open_pieces.repartition(max(1, -(-rows // part_rows)), F.xxhash64(F.lit(salt), "doc_id", "piece", "ids_crc32"))
+    # ``open_pieces`` is a written table, so a row's number is the same in every try.
+    dealt = (open_pieces.withColumn("_row", F.monotonically_increasing_id())
+             .repartition(max(1, -(-rows // part_rows)), F.xxhash64(F.lit(salt), "_row")).drop("_row"))
     return map_rows(dealt, run, f"{fields}, sequence_id bigint, offset bigint, open boolean")
 
 
-def pack(cut: DataFrame, capacity: int = SEQUENCE, part_rows: int = PART_ROWS, rounds: int = ROUNDS) -> DataFrame:
-    """``cut`` (doc_id, piece, length, ids_crc32, ...) with sequence_id and offset."""
+def pack(cut: DataFrame, capacity: int = SEQUENCE, part_rows: int = PART_ROWS) -> DataFrame:
+    """``cut`` (doc_id, piece, length, ids_crc32, ...; a written table) with
+    sequence_id and offset."""
     names = cut.columns
     done = None
     now = written(_packed(cut, cut.count(), 0, capacity, part_rows), "packed")
-    for salt in range(1, rounds + 1):
+    for salt in count(1):  # every round but the last needs fewer sequences
         rest = now.filter("open")
         rows, bins = rest.agg(F.count("*"), F.countDistinct("sequence_id")).first()
         if not rows:
