@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import pickle
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,13 +43,15 @@ def map_rows(df: DataFrame, fn: Callable[[Iterator[dict]], Iterable[dict]], sche
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int) -> DataFrame:
     """At most ``rows`` labelled training documents as (doc_id, text, label).
 
-    Only rows that are not held out take part.  The ``rows`` smallest hashes of
-    the id are chosen among the labels, so the choice is the same on every run
-    and the broadcast side of the join holds at most ``rows`` ids, whatever the
-    size of the tables.  A document with contradicting labels counts as 1; of
+    Only rows that are not held out take part, and only labels of ids that
+    ``docs`` has, so the sample is ``rows`` or all of them.  The ``rows`` smallest
+    hashes of the id are chosen, so the choice is the same on every run and the
+    broadcast side of the join holds at most ``rows`` ids, whatever the size of
+    the tables.  A document with contradicting labels counts as 1; of
     several texts of one id the smallest is taken, combined before the shuffle.
     """
     chosen = (labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
+              .join(docs.select("doc_id"), "doc_id", "left_semi")
               .groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
               .orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(rows))
     return (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
@@ -62,6 +67,23 @@ def worker_cache(name: str) -> dict:
     return sys.modules.setdefault("_textmill_worker_cache", types.ModuleType("cache")).__dict__.setdefault(name, {})
 
 
+def shared(spark: SparkSession, value) -> Callable[[], object]:
+    """Send ``value`` to the executors once; the returned function gives it inside
+    a task.  It travels with the code of its classes, which plain broadcasts
+    leave to the workers' own path.  A worker keeps the last few values opened."""
+    name, sent = uuid.uuid4().hex, spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    def get():
+        opened = worker_cache("shared")
+        if name not in opened:
+            while len(opened) > 3:
+                del opened[next(iter(opened))]
+            opened[name] = pickle.loads(sent.value)
+        return opened[name]
+
+    return get
+
+
 def filter_rows(df: DataFrame, keep: Callable[[list], Iterable[bool]]) -> DataFrame:
     """Rows of ``df`` (all its columns) whose ``text`` ``keep`` is true for;
     ``keep`` gets the texts of a batch.  No shuffle."""

@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textmill.llm.common import filter_rows, held_out, labelled_sample, map_rows, table
+from textmill.llm.common import filter_rows, held_out, labelled_sample, map_rows, shared, table
 from textmill.session import written
 
 TRAIN_ROWS = 6_000
@@ -187,13 +187,13 @@ def quality(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) ->
     docs = docs.select("doc_id", "text")
     if isinstance(model, float):
         return docs.select("doc_id", F.lit(model).alias("score"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    sent = shared(docs.sparkSession, model)
 
     def run(batches):
         for b in batches:
             lo = 0
             for x in bags(b["text"]):
-                yield {"doc_id": b["doc_id"][lo:lo + len(x)], "score": shared.value.score(x)}
+                yield {"doc_id": b["doc_id"][lo:lo + len(x)], "score": sent().score(x)}
                 lo += len(x)
 
     return map_rows(docs, run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double")
@@ -205,8 +205,8 @@ def good_documents(docs: DataFrame, labels: DataFrame, keep_from: float = 0.3,
     model = fit(docs, labels, train_rows)
     if isinstance(model, float):
         return docs if model >= keep_from else docs.limit(0)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    return filter_rows(docs, lambda texts: [s >= keep_from for x in bags(texts) for s in shared.value.score(x)])
+    sent = shared(docs.sparkSession, model)
+    return filter_rows(docs, lambda texts: [s >= keep_from for x in bags(texts) for s in sent().score(x)])
 
 
 def op9_quality_neighbours(spark, sf_dir):

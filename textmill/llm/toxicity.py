@@ -32,7 +32,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textmill.llm.common import filter_rows, held_out, labelled_sample, map_rows, table, worker_cache
+from textmill.llm.common import filter_rows, held_out, labelled_sample, map_rows, shared, table, worker_cache
 from textmill.session import written
 
 TRAIN_ROWS = 8_000
@@ -369,13 +369,14 @@ class Model:
         return (1 / (1 + np.exp(-np.clip(x @ self.line[:-1] + self.line[-1], -30, 30)))).tolist()
 
 
-def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Model | None:
-    """A model of labels.toxic from at most ``train_rows`` labelled documents;
-    None where there is no toxic one among them."""
+def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Model | float:
+    """A model of labels.toxic from at most ``train_rows`` labelled documents, or
+    the share of toxic ones as a constant score where nothing tells them apart:
+    labels all alike (0 without any), or no significant term."""
     sample = written(labelled_sample(docs, labels, "toxic", train_rows), "toxic-sample")
     terms = lexicon(sample)
     if not terms:
-        return None
+        return float(sample.agg(F.avg("label")).first()[0] or 0.0)
     model = Model(terms)
 
     def run(batches):
@@ -415,14 +416,15 @@ def toxicity(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -
     """(doc_id, score) of every row of ``docs`` (doc_id, text)."""
     model = fit(docs, labels, train_rows)
     docs = docs.select("doc_id", "text")
-    if model is None:
-        return docs.select("doc_id", F.lit(0.0).alias("score"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    if isinstance(model, float):
+        return docs.select("doc_id", F.lit(model).alias("score"))
+    sent = shared(docs.sparkSession, model)
 
     def run(batches):
-        classes = shared.value.automaton.letter_classes()
+        model = sent()
+        classes = model.automaton.letter_classes()
         for b in batches:
-            yield {"doc_id": b["doc_id"], "score": shared.value.score(b["text"], classes)}
+            yield {"doc_id": b["doc_id"], "score": model.score(b["text"], classes)}
 
     return map_rows(docs, run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double")
 
@@ -431,12 +433,12 @@ def clean_documents(docs: DataFrame, labels: DataFrame, reject_from: float = 0.5
                     train_rows: int = TRAIN_ROWS) -> DataFrame:
     """Rows of ``docs``, all columns, with a score below ``reject_from``."""
     model = fit(docs, labels, train_rows)
-    if model is None:
-        return docs
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    if isinstance(model, float):
+        return docs if model < reject_from else docs.limit(0)
+    sent = shared(docs.sparkSession, model)
 
     def keep(texts):
-        return [s < reject_from for s in shared.value.score(texts, shared.value.automaton.letter_classes())]
+        return [s < reject_from for s in sent().score(texts, sent().automaton.letter_classes())]
 
     return filter_rows(docs, keep)
 

@@ -10,7 +10,8 @@ nested intervals, found by bisection.  The longest rule wins; of equally long
 ones that of the longer host, and block before allow for the same rule.
 
 Rules go to the tasks in blocks of ``RULE_BLOCK``; with more rules than that the
-sorted URLs pass one block after another and keep the best rule so far.
+sorted URLs pass one block after another and keep the best rule so far, by the
+same order, so that blocks change no verdict.
 
 Defined results: a null URL or one without ``://`` has empty host and path; an
 empty host fits no rule; URLs without a fitting rule get the ``default`` verdict;
@@ -25,7 +26,7 @@ from bisect import bisect_right
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textmill.llm.common import map_rows, table
+from textmill.llm.common import map_rows, shared, table
 from textmill.session import written
 
 RULE_BLOCK = 200_000
@@ -61,6 +62,12 @@ class Nested:
         return i
 
 
+def weight(rule: str, verdict: str) -> tuple:
+    """What wins among fitting rules: the longest, of these the one of the longer
+    host, then block before allow, then the later in order."""
+    return len(rule), len(rule.partition("/")[0]), verdict, rule
+
+
 class RuleSet:
     """Nested rule hosts, each with its nested paths: {path: (rule, verdict)}."""
 
@@ -94,7 +101,7 @@ class RuleSet:
         best = None
         for i in reversed(stack):
             p = self.paths[i].innermost(path)
-            if p >= 0 and (best is None or len(self.rules[i][p][0]) > len(best[0])):
+            if p >= 0 and (best is None or weight(*self.rules[i][p]) > weight(*best)):
                 best = self.rules[i][p]
         return best
 
@@ -113,14 +120,15 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", rule_
     names = now.columns
     for n in range(blocks):
         block = usable.filter(F.pmod(F.xxhash64("rule"), F.lit(blocks)) == n)
-        shared = pages.sparkSession.sparkContext.broadcast(RuleSet([tuple(r) for r in block.collect()]))
+        sent = shared(pages.sparkSession, RuleSet([tuple(r) for r in block.collect()]))
 
-        def run(batches, shared=shared):
+        def run(batches, sent=sent):
             state: dict = {}
+            rules = sent()
             for b in batches:
-                for i, (key, path, old) in enumerate(zip(b["key"], b["path"], b["rule"])):
-                    best = shared.value.sweep(state, key, path) if b["host"][i] else None
-                    if best and (old is None or len(best[0]) > len(old)):
+                for i, (key, path, old) in enumerate(zip(b["key"], b["path"], zip(b["rule"], b["verdict"]))):
+                    best = rules.sweep(state, key, path) if b["host"][i] else None
+                    if best and (old[0] is None or weight(*best) > weight(*old)):
                         b["rule"][i], b["verdict"][i] = best
                 yield b
 
