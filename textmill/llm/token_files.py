@@ -36,6 +36,8 @@ import uuid
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -50,13 +52,19 @@ MAGIC = b"TIDS8B01"
 WIDTHS = [(120, 0), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15),
           (3, 20), (2, 30), (1, 60)]
 BLOCK_WORDS = 8192
-FILE_BYTES = 32 << 20
+FILE_BYTES = 16 << 20
 #: Text bytes per task.
-PART_BYTES = 64 << 20
+PART_BYTES = 32 << 20
 CACHED = 400_000
+#: Longer pieces are not kept.
+LONG = 40
+#: Text bytes cut into words at once.
+TOGETHER = 8 << 20
 _FOOTER = "<5Q8s"
 _FOOTER_BYTES = 48
 _INDEX = 5
+#: White space, for regular expressions that know ASCII only.
+_SPACES = r"\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 #: The vocabulary's own splitting rule (fixed by its file).
 _PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -68,37 +76,30 @@ class TokenFileError(ValueError):
 # -- coding ----------------------------------------------------------------
 
 def _bits(ids: np.ndarray) -> np.ndarray:
-    """Bits that each id needs."""
-    out = np.zeros(len(ids), np.uint8)
-    for shift in (32, 16, 8, 4, 2, 1):
-        big = ids >> np.uint64(shift) != 0
-        out[big] += shift
-        ids = np.where(big, ids >> np.uint64(shift), ids)
-    return out + (ids != 0).astype(np.uint8)
+    """Bits that each id needs; numbers up to 2**53 are exact as floats."""
+    high = ids >> np.uint64(32)
+    if high.any():
+        return np.where(high != 0, np.frexp(high.astype(np.float64))[1] + 32, np.frexp((ids & np.uint64(0xFFFFFFFF)).astype(np.float64))[1]).astype(np.uint8)
+    return np.frexp(ids.astype(np.float64))[1].astype(np.uint8)
 
 
 def _room(bits: np.ndarray) -> np.ndarray:
     """The selector of a word that begins at each place: the most ids of which
     all fit.  ``bits`` has 255 after every list, which fits nowhere."""
-    best = np.zeros(len(bits), np.uint8)
-    most = {1: bits}  # most bits among the next so many
-
-    def widest(n: int) -> np.ndarray:
-        if n not in most:
-            half = max(k for k in most if k < n) if n < 4 else max(k for k in (1, 2, 4, 8, 15, 30, 60) if k < n)
-            a, b = widest(half), widest(n - half)
-            out = np.full(len(bits), 255, np.uint8)
-            out[:len(bits) - half] = np.maximum(a[:len(bits) - half], b[half:])
-            most[n] = out
-        return most[n]
-
-    for selector in range(len(WIDTHS), 0, -1):  # what holds more ids fits only where all with fewer do
-        n, width = WIDTHS[selector - 1]
-        fits = widest(n) <= width
+    least = np.zeros(len(bits), np.uint8)  # words that hold more ids fit only where all with fewer do
+    wide, half = bits, 1  # most bits among the next ``half``
+    for n, width in reversed(WIDTHS):  # each n is at most twice the one before
+        if n > 1:
+            size = len(bits) - n + half
+            both = np.maximum(wide[:size], wide[n - half:])
+            wide = np.full(len(bits), 255, np.uint8)
+            wide[:max(0, len(bits) - n + 1)] = both[:max(0, len(bits) - n + 1)]
+            half = n
+        fits = wide <= width
         if not fits.any():
             break
-        best[fits] = selector
-    return best
+        least += fits
+    return np.where(least > 0, len(WIDTHS) + 1 - least, 0).astype(np.uint8)
 
 
 def encode(lists: list[np.ndarray]) -> list[tuple[bytes, bytes]]:
@@ -284,16 +285,18 @@ class TokenFile:
 
 # -- tokens ----------------------------------------------------------------
 
-def _byte_letters() -> dict[int, str]:
-    """Byte-level vocabularies write bytes that have no visible Latin-1 letter
-    as the letters from U+0100 on, in order."""
+def _byte_letters() -> list[str]:
+    """The letter of each byte in byte-level vocabularies: its Latin-1 letter if
+    that is visible, else the letters from U+0100 on, in order."""
     visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    return {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in visible)}
+    hidden = iter(range(256, 512))
+    return [chr(b) if b in visible else chr(next(hidden)) for b in range(256)]
 
 
 class ByteIds:
     """Token ids of texts by a byte-level tokenizer.  Tokens stay inside the
-    pieces of its splitting rule, so each different piece is tokenised once and
+    pieces of its splitting rule, and a space that no white space follows always
+    begins a piece; so each different word after a space is tokenised once and
     kept, up to ``limit`` of them, then the table starts anew."""
 
     def __init__(self, path: str, limit: int = CACHED):
@@ -306,29 +309,81 @@ class ByteIds:
         self.tokens = self.whole.model.tokenize
         self.split = regex.compile(_PRETOKEN).findall
         self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        self.loose = "|".join([f" [{_SPACES}]", r" \z", *map(regex.escape, self.special)])
         rule = json.loads(self.whole.to_str())["pre_tokenizer"]
         if rule["type"] != "ByteLevel" or rule["add_prefix_space"] or not rule["use_regex"]:
             raise ValueError(f"{path} is no byte-level tokenizer of the known splitting rule")
         self.letters = _byte_letters()
-        self.known: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.spaced: dict[str, bytes] = {}  # words without the space before them
         self.limit = limit
 
+    def _ids(self, piece: str) -> bytes:
+        letters = "".join([self.letters[b] for b in piece.encode()])
+        return b"".join([t.id.to_bytes(4, "little") for t in self.tokens(letters)])
+
     def _piece(self, piece: str) -> bytes:
-        letters = piece.encode().decode("latin-1").translate(self.letters)
-        ids = self.known[piece] = np.array([t.id for t in self.tokens(letters)], "<u4").tobytes()
+        ids = self.pieces.get(piece)
+        if ids is None:
+            ids = self._ids(piece)
+            if len(piece) <= LONG:
+                self.pieces[piece] = ids
         return ids
 
+    def _word(self, word: str) -> bytes:
+        """Ids of a space and ``word``; an empty word is only a text's first."""
+        if not word:
+            return b""
+        if word.isalpha():
+            ids = self._ids(" " + word) if not word.isascii() else b"".join(
+                [t.id.to_bytes(4, "little") for t in self.tokens(self.letters[32] + word)])
+            if len(word) <= LONG:
+                self.spaced[word] = ids
+            return ids
+        if word[-1] in ".,;:!?" and word[:-1].isalpha():
+            return (self.spaced.get(word[:-1]) or self._word(word[:-1])) + self._piece(word[-1])
+        return b"".join(map(self._piece, self.split(" " + word)))
+
     def of(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
         if any(s in text for s in self.special):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(self.known) > self.limit:
-            self.known.clear()
-        pieces = self.split(text)
-        got = list(map(self.known.get, pieces))
-        if None in got:
-            got = [self._piece(p) if g is None else g for g, p in zip(got, pieces)]
-        return b"".join(got)
+        return b"".join(map(self._piece, self.split(text)))
+
+    def of_all(self, texts: pa.Array):
+        """The ids (unsigned 32-bit) of each text, in order.  Texts are cut at
+        their spaces together and only their different words looked up; those
+        that ``loose`` matches or that hold a special token go one by one."""
+        texts = pc.fill_null(texts, "")
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+        lo = 0
+        while lo < len(texts):
+            hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + TOGETHER, "right")))
+            yield from self._of_some(texts.slice(lo, hi - lo))
+            lo = hi
+
+    def _of_some(self, texts: pa.Array):
+        if len(self.pieces) + len(self.spaced) > self.limit:
+            self.pieces.clear()
+            self.spaced.clear()
+        odd = pc.match_substring_regex(texts, self.loose)
+        parts = pc.split_pattern(pc.if_else(odd, "", texts), " ")
+        words = parts.flatten().dictionary_encode()
+        which, first = words.indices.to_numpy().astype(np.int64), parts.offsets.to_numpy()[:-1].astype(np.int64)
+        first -= first[0]
+        different = words.dictionary.to_pylist()
+        got = [self._word(w) if g is None else g for g, w in zip(map(self.spaced.get, different), different)]
+        # A text's first word has no space before it; a text that goes alone is one word.
+        alone = dict(zip(np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist(), texts.filter(odd).to_pylist()))
+        got += [self.of(alone[i]) if i in alone else b"".join(map(self._piece, self.split(different[w])))
+                for i, w in enumerate(which[first].tolist())]
+        which[first] = len(different) + np.arange(len(first))
+        ids = np.frombuffer(b"".join(got), "<u4")
+        n = np.fromiter(map(len, got), np.int64, len(got)) // 4
+        starts, n_of = np.cumsum(n) - n, n[which]
+        ends = np.cumsum(n_of)
+        out = ids[np.repeat(starts[which] - (ends - n_of), n_of) + np.arange(int(ends[-1]))]
+        yield from np.split(out, (ends - n_of)[first[1:]])
 
 
 def _store(folder: str):
@@ -345,7 +400,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    end = end_id.to_bytes(4, "little")
+    end = np.uint32(end_id)
+    arrow = pa.schema([("file", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("part", pa.int32()), ("number", pa.int32())])
 
     def run(batches):
         from pyspark import TaskContext
@@ -353,7 +409,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
         cache = worker_cache("byte_ids")
         if tokenizer not in cache:
             cache[tokenizer] = ByteIds(tokenizer)
-        ids_of = cache[tokenizer].of
+        ids_of = cache[tokenizer].of_all
         store, root = _store(folder)
         part, done = TaskContext.get().partitionId(), []
 
@@ -370,8 +426,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
         def coded():
             held, size = [], 0
             for b in batches:
-                for doc_id, text in zip(b["doc_id"], b["text"]):
-                    ids = np.frombuffer(ids_of(text or "") + end, "<u4")
+                for doc_id, ids in zip(b.column("doc_id").to_pylist(), ids_of(b.column("text"))):
+                    ids = np.append(ids, end)
                     held.append((doc_id, ids))
                     size += len(ids)
                     if size > 1 << 20:  # ids coded together
@@ -390,14 +446,14 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
         if file:
             put(file)
         if done:
-            yield {k: [d[k] for d in done] for k in done[0]}
+            yield pa.RecordBatch.from_pylist(done, schema=arrow)
 
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(path)
     order = [F.asc_nulls_last("doc_id"), "tie", "row"]
     dealt = (docs.select("*", F.xxhash64("text").alias("tie"), F.monotonically_increasing_id().alias("row"))
              .repartitionByRange(max(1, -(-size // part_bytes)), *order).sortWithinPartitions(*order))
-    return written(map_rows(dealt.select("doc_id", "text"), run, "file string, n_docs bigint, n_ids bigint, part int, number int"),
+    return written(dealt.select("doc_id", "text").mapInArrow(run, "file string, n_docs bigint, n_ids bigint, part int, number int"),
                    "token-files")
 
 
