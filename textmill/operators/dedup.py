@@ -15,7 +15,8 @@ def dedup_keep_first(df: DataFrame, key: str = "description",
     Only a 256-bit hash of the key and the order columns are grouped, combined
     before the shuffle, so a text copied into a third of all rows costs one
     small row per task; the rows that come first are then picked by a semi
-    join.  Deterministic, unlike ``dropDuplicates``.  Rows equal in key and
+    join on the order columns and the hash, the only shuffle of whole rows.  An
+    order that starts with an id spreads them evenly.  Deterministic, unlike ``dropDuplicates``.  Rows equal in key and
     order are all kept.
     """
     order = list(order)

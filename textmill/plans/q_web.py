@@ -5,8 +5,9 @@ from __future__ import annotations
 from textmill.operators import html
 from textmill.operators.language import UNDETECTED, WORD_SPLIT, detect_language
 from textmill.operators.filters import not_blocked
+from textmill.operators.ngrams import detect_by_grams, learn_profiles, profile_frame
 from textmill.plans.catalog import register
-from textmill.plans.sqltext import lit, lower_sql
+from textmill.plans.sqltext import gram_language_sql, gram_profile_sql, lit, lower_sql
 from textmill.sources.stopwords import language_profiles
 from textmill.sources.tables import table
 
@@ -52,3 +53,18 @@ def _language_sql() -> str:
 def q_detect_language(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return detect_language(docs, "text", "doc_id", "language")
+
+
+@register("detect_language_grams", lambda: (
+    f"SELECT d.doc_id, coalesce(g.language, '{UNDETECTED}') AS language FROM documents d "
+    f"LEFT JOIN ({gram_language_sql()}) g ON d.doc_id = g.doc_id"))
+def q_detect_language_grams(spark, sf_dir):
+    """The language of every document by trigram profiles learned from the labelled rows."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    return detect_by_grams(docs, learn_profiles(docs))
+
+
+@register("language_profiles", lambda: f"WITH {gram_profile_sql()} SELECT lang, gram, weight FROM gw")
+def q_language_profiles(spark, sf_dir):
+    """The learned profiles, a weight per language and trigram."""
+    return profile_frame(spark, learn_profiles(table(spark, sf_dir, "documents", "doc_id", "text", "lang")))

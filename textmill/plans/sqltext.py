@@ -93,11 +93,40 @@ def corpus_sql(max_chars: int | None = None, languages: Sequence[str] = ("en",),
     band = "length(text) > 140" + (f" AND length(text) <= {max_chars}" if max_chars else "")
     lang = f" AND lang IN ({', '.join(lit(x) for x in languages)})" if languages else ""
     extra = f", {extra_cols}" if extra_cols else ""
-    detected = f"(SELECT * REPLACE ({language_sql('text')} AS lang) FROM {dedup_sql()})" if languages else dedup_sql()
+    detected = (f"(SELECT d.* REPLACE (coalesce(g.language, 'Error') AS lang) FROM {dedup_sql()} d LEFT JOIN "
+                f"({gram_language_sql()}) g ON d.doc_id = g.doc_id)" if languages else dedup_sql())
     return (f"SELECT doc_id, source, lang, text{extra}, {tokens_sql('text')} AS tokens "
             f"FROM {detected} WHERE {band}{lang}")
 
 
+def gram_profile_sql() -> str:
+    """CTEs of ``operators.ngrams.learn_profiles`` over documents: ``gw(lang,
+    gram, weight)``, and ``gt(doc_id, gram, n)`` of all documents."""
+    from textmill.operators.ngrams import PROFILE_GRAMS, SAMPLE_ROWS, UNSEEN
+
+    letters = f"regexp_replace({lower_sql('text')}, {lit(chr(92) + 'P{L}+')}, ' ', 'g')"
+    return (f"gl AS (SELECT doc_id, ' ' || trim({letters}) || ' ' AS s FROM documents WHERE text IS NOT NULL), "
+            f"gt AS (SELECT doc_id, gram, count(*) AS n FROM (SELECT doc_id, unnest(list_transform(range(1, length(s) - 1), "
+            f"lambda i: substr(s, i, 3))) AS gram FROM gl) GROUP BY ALL), "
+            f"gs AS (SELECT doc_id, lang FROM (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY "
+            f"md5(doc_id::VARCHAR), doc_id) AS rn FROM documents WHERE text IS NOT NULL AND lang IS NOT NULL) WHERE rn <= {SAMPLE_ROWS}), "
+            f"gc AS (SELECT lang, gram, sum(n) AS n FROM gs JOIN gt ON gs.doc_id = gt.doc_id GROUP BY ALL), "
+            f"gv AS (SELECT DISTINCT gram FROM (SELECT gram, row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) AS rn "
+            f"FROM gc) WHERE rn <= {PROFILE_GRAMS}), "
+            f"gn AS (SELECT lang, sum(n) AS total FROM gc GROUP BY lang), "
+            f"gw AS (SELECT gn.lang, gv.gram, CAST(round(1000 * ln((coalesce(gc.n, 0) + {UNSEEN}) / (gn.total + {UNSEEN} * "
+            f"(SELECT count(*) FROM gv)))) AS BIGINT) AS weight FROM gn CROSS JOIN gv LEFT JOIN gc ON gc.lang = gn.lang AND gc.gram = gv.gram)")
+
+
+def gram_language_sql() -> str:
+    """SQL of ``operators.ngrams`` over documents: doc_id, language (texts
+    without a known trigram are missing)."""
+    return (f"WITH {gram_profile_sql()}, "
+            f"ge AS (SELECT gt.doc_id, gw.lang, sum(gt.n * gw.weight) AS e FROM gt JOIN gw ON gt.gram = gw.gram GROUP BY ALL) "
+            f"SELECT doc_id, lang AS language FROM (SELECT doc_id, lang, row_number() OVER (PARTITION BY doc_id ORDER BY e DESC, lang) "
+            f"AS rn FROM ge) WHERE rn = 1")
+
+
 def language_sql(expr: str) -> str:
     """SQL of ``operators.language.language_of``."""
     from textmill.operators.language import UNDETECTED, WORD_SPLIT
