@@ -231,6 +231,19 @@ def q_best_k(spark, sf_dir):
     return best_k(q_k_sweep(spark, sf_dir))
 
 
+@register("kmeans_table_sizes")
+def q_kmeans_table_sizes(spark, sf_dir):
+    """M1 + M2 with the centres as a table: documents per cluster and their cost
+    (k = 60, seed 42)."""
+    from textmill.operators import kmeans_table as kt
+    from textmill.session import materialize
+
+    docs = materialize(_terms_corpus(spark, sf_dir).select("doc_id", "terms"))
+    vectors, _ = kt.tfidf_vectors(docs)
+    parts, model = kt.fit(vectors, docs.select("doc_id"))
+    return kt.assign(parts, model).groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.sum("cost").alias("cost"))
+
+
 @register("kmeans_topics")
 def q_kmeans_topics(spark, sf_dir):
     """M6 on the k-means assignment: keywords of each cluster mean."""
