@@ -174,18 +174,23 @@ def q_embedding_silhouette(spark, sf_dir):
 # ---------------------------------------------------------------------------- k-means (rows only)
 
 def _model_inputs(spark, sf_dir):
-    """Per-document terms, computed once, and the k-means feature frame."""
+    """Per-document terms and headline, their TF-IDF rows, both computed once,
+    the k-means feature frame and the number of documents."""
     from textmill.operators.kmeans import kmeans_input, tfidf_features
+    from textmill.operators.terms import with_vectorizer_terms
+    from textmill.plans.corpus import article_corpus
     from textmill.session import materialize
 
-    docs = materialize(_terms_corpus(spark, sf_dir))
-    feats, _ = tfidf_features(docs)
+    corpus = article_corpus(spark, sf_dir).select("doc_id", "source", "category", F.col("description").alias("headline"), "tokens")
+    docs = materialize(with_vectorizer_terms(corpus).drop("tokens"))
+    vec = materialize(tfidf(docs, reuse_input=False))
+    feats, _ = tfidf_features(docs.select("doc_id", "terms"), weights=vec)
     n = docs.count()
-    return docs, kmeans_input(feats.select("doc_id", "features"), n), n
+    return docs, vec, kmeans_input(feats.select("doc_id", "features"), n), n
 
 
 def _fit(spark, sf_dir, k=None):
-    """The fitted model and its assignment.  ``k`` is a number, None for the
+    """The corpus, its TF-IDF rows, the fitted model and its assignment.  ``k`` is a number, None for the
     default of 60, or ``"best"`` for the sweep's best (the presets'
     ``optimize_k``).  A table of fewer documents than k has one cluster less
     than documents."""
@@ -193,7 +198,7 @@ def _fit(spark, sf_dir, k=None):
 
     from textmill.session import materialize
 
-    docs, feats, n = _model_inputs(spark, sf_dir)
+    docs, vec, feats, n = _model_inputs(spark, sf_dir)
     if k == "best":
         sweep = spark.createDataFrame(k_sweep(feats), "k int, silhouette double, inertia double")
         k = best_k(sweep).first().k
@@ -203,13 +208,13 @@ def _fit(spark, sf_dir, k=None):
     # out of every later stage.
     assign = materialize(assign_clusters(model, feats))
     feats.unpersist()
-    return docs, model, assign
+    return docs, vec, model, assign
 
 
 @register("kmeans_sizes")
 def q_kmeans_sizes(spark, sf_dir):
     """M1 + M2: documents per k-means cluster (k = 60, seed 42)."""
-    _docs, _model, assign = _fit(spark, sf_dir)
+    _docs, _vec, _model, assign = _fit(spark, sf_dir)
     return cl.cluster_sizes(assign)
 
 
@@ -218,7 +223,7 @@ def q_k_sweep(spark, sf_dir):
     """M4: silhouette and inertia for k = 2..79 on one persisted vector frame."""
     from textmill.operators.kmeans import k_sweep
 
-    _docs, feats, _n = _model_inputs(spark, sf_dir)
+    _docs, _vec, feats, _n = _model_inputs(spark, sf_dir)
     rows = k_sweep(feats)
     return spark.createDataFrame(rows, "k int, silhouette double, inertia double")
 
@@ -247,15 +252,15 @@ def q_kmeans_table_sizes(spark, sf_dir):
 @register("kmeans_topics")
 def q_kmeans_topics(spark, sf_dir):
     """M6 on the k-means assignment: keywords of each cluster mean."""
-    docs, _model, assign = _fit(spark, sf_dir)
-    kw = cl.cluster_keywords(cl.centroids(tfidf(docs, reuse_input=False), assign), TOP_KEYWORDS)
+    _docs, vec, _model, assign = _fit(spark, sf_dir)
+    kw = cl.cluster_keywords(cl.centroids(vec, assign), TOP_KEYWORDS)
     return cl.topic_table(kw, TOP_KEYWORDS).withColumn("snippet", F.array_join("snippet", ", "))
 
 
 @register("kmeans_sizes_best_k")
 def q_kmeans_sizes_best_k(spark, sf_dir):
     """M5 -> M1: documents per cluster at the k the sweep finds best."""
-    _docs, _model, assign = _fit(spark, sf_dir, "best")
+    _docs, _vec, _model, assign = _fit(spark, sf_dir, "best")
     return cl.cluster_sizes(assign)
 
 
@@ -263,13 +268,11 @@ def q_kmeans_sizes_best_k(spark, sf_dir):
 def q_article_points(spark, sf_dir):
     """M3 + M7 + M8: distance matrix -> 2-D projection -> point table."""
     from textmill.operators.layout import distance_vectors, point_table, project_2d
-    from textmill.plans.corpus import article_corpus
 
-    docs, _model, assign = _fit(spark, sf_dir)
-    vec = tfidf(docs, reuse_input=False)
-    dists = cl.centroid_distances(vec, assign)
-    xy = project_2d(distance_vectors(dists))
+    docs, vec, _model, assign = _fit(spark, sf_dir)
+    # Written: the projection reads the distances twice, to fit and to transform.
+    dists = written(distance_vectors(cl.centroid_distances(vec, assign)), "distances")
+    xy = project_2d(dists)
     kw = cl.cluster_keywords(cl.centroids(vec, assign), TOP_KEYWORDS)
     topics = cl.topic_table(kw, TOP_KEYWORDS).withColumn("snippet", F.array_join("snippet", ", "))
-    arts = article_corpus(spark, sf_dir).select("doc_id", F.col("description").alias("headline"), "category")
-    return point_table(xy, assign, arts, topics)
+    return point_table(xy, assign, docs.select("doc_id", "headline", "category"), topics)
