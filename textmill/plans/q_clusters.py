@@ -171,6 +171,34 @@ def q_embedding_silhouette(spark, sf_dir):
     return cl.silhouette(vec, assign).select(F.round("silhouette", 6).alias("silhouette"))
 
 
+#: Documents of the registered sample.
+SILHOUETTE_ROWS = 400
+
+
+def _silhouette_sample_sql() -> str:
+    return (f"WITH {_vec_cte()}, "
+            f"sm AS (SELECT doc_id, cluster FROM asg ORDER BY md5(doc_id::VARCHAR), doc_id LIMIT {SILHOUETTE_ROWS}), "
+            f"sv AS (SELECT vec.* FROM vec JOIN sm ON vec.doc_id = sm.doc_id), "
+            f"sq AS (SELECT sm.doc_id, sm.cluster, coalesce(sum(weight * weight), 0) AS xx FROM sm LEFT JOIN sv ON sm.doc_id = sv.doc_id GROUP BY ALL), "
+            f"dt AS (SELECT a.doc_id AS i, b.doc_id AS j, sum(a.weight * b.weight) AS dot FROM sv a JOIN sv b ON a.term = b.term GROUP BY ALL), "
+            f"ds AS (SELECT p.doc_id AS i, p.cluster AS own, q.cluster, sqrt(greatest(p.xx + q.xx - 2 * coalesce(dt.dot, 0), 0)) AS d "
+            f"FROM sq p JOIN sq q ON p.doc_id <> q.doc_id LEFT JOIN dt ON dt.i = p.doc_id AND dt.j = q.doc_id), "
+            f"mn AS (SELECT i, own, cluster, avg(d) AS m FROM ds GROUP BY ALL), "
+            f"ab AS (SELECT i, own, max(m) FILTER (cluster = own) AS a, min(m) FILTER (cluster <> own) AS b FROM mn GROUP BY ALL) "
+            f"SELECT i AS doc_id, own AS cluster, round(CASE WHEN a IS NULL OR b IS NULL OR greatest(a, b) = 0 THEN 0.0 "
+            f"ELSE (b - a) / greatest(a, b) END, 6) AS silhouette FROM ab")
+
+
+@register("silhouette_sample", _silhouette_sample_sql)
+def q_silhouette_sample(spark, sf_dir):
+    """Exact Euclidean silhouette of the sampled documents."""
+    from textmill.operators.silhouette import silhouette_sample_points
+
+    vec, assign = _vectors_and_labels(spark, sf_dir)
+    points = silhouette_sample_points(vec, assign, SILHOUETTE_ROWS, block_rows=100)
+    return points.select("doc_id", "cluster", F.round("silhouette", 6).alias("silhouette"))
+
+
 # ---------------------------------------------------------------------------- k-means (rows only)
 
 def _model_inputs(spark, sf_dir):

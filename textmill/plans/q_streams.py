@@ -12,7 +12,9 @@ from textmill.operators import sentiment as nb
 from textmill.plans.catalog import register
 from textmill.plans.q_sentiment import LABELS, _model_cte, _prediction_sql, _scores_cte, _split
 from textmill.plans.sqltext import sentiment_tokens_sql
+from textmill.sources.tables import table
 from textmill.streaming import ingest
+from textmill.streaming.history import TextHistory, dedup_against_history
 
 
 def _source(spark, sf_dir, name, *cols):
@@ -52,6 +54,46 @@ def q_stream_daily_window(spark, sf_dir):
     return ingest.latest(spark, out, ["window_start", "window_end", "event_type"], "n")
 
 
+@register("stream_weekly_sliding", lambda: (
+    "SELECT w AS window_start, w + INTERVAL 7 DAY AS window_end, event_type, count(*) AS n FROM (SELECT event_type, "
+    "unnest(list_transform(range(7), lambda i: date_trunc('day', ts) - to_days(i::INTEGER))) AS w FROM events) GROUP BY 1, 2, 3"))
+def q_stream_weekly_sliding(spark, sf_dir):
+    """7-day windows starting daily, from a stream; a heartbeat after the last
+    event, read by a second run from the same checkpoint, closes the last windows."""
+    out, ckpt = ingest.stream_folder(spark, "stream_weekly")
+    events = _source(spark, sf_dir, "events", "ts", "event_type").withColumn("ts", F.col("ts").cast("timestamp")) \
+        .withColumn("beat", F.lit(False))
+    beats = f"{out}-beats"
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(beats)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)
+
+    def run():
+        both = events.unionByName(ingest.read_stream(spark, beats, events.schema))
+        ingest.run_to_table(ingest.sliding_counts_stream(both, "ts", "event_type", beat_col="beat"), out, ckpt)
+
+    run()
+    last = table(spark, sf_dir, "events", "ts").agg(F.max(F.col("ts").cast("timestamp")) + F.make_interval(days=F.lit(30))).first()[0]
+    if last is not None:
+        ingest.heartbeat(spark, beats, events.schema, "ts", last, "beat")
+        run()
+    schema = "window_start timestamp, window_end timestamp, event_type string, n bigint"
+    return spark.read.schema(schema).parquet(out)
+
+
+@register("stream_dedup_history", lambda: "SELECT DISTINCT text FROM documents WHERE text IS NOT NULL")
+def q_stream_dedup_history(spark, sf_dir):
+    """T2 + A5: documents arriving in several files, each batch deduplicated
+    against all before it."""
+    out, ckpt = ingest.stream_folder(spark, "stream_history")
+    arrivals = f"{out}-arrivals"
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    docs.repartitionByRange(4, "doc_id").write.parquet(arrivals)
+    history = TextHistory(spark, f"{out}-history")
+    stream = ingest.read_stream(spark, arrivals, docs.schema, max_files_per_trigger=1)
+    ingest.run_each_batch(stream, dedup_against_history(history, out, "text", ["doc_id"]), ckpt)
+    return spark.read.schema(docs.schema).parquet(out).select("text")
+
+
 def _stream_scores_sql() -> str:
     return (f"WITH {_model_cte()}, "
             f"ti AS (SELECT doc_id, split_part(text, chr(10), 1) AS title FROM documents), "

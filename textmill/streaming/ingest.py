@@ -76,6 +76,30 @@ def daily_counts_stream(df: DataFrame, ts_col: str, group_col: str,
                         ts_col, group_col)
 
 
+def sliding_counts_stream(df: DataFrame, ts_col: str, group_col: str, days: int = 7,
+                          watermark: str = DEDUP_WATERMARK, beat_col: str | None = None) -> DataFrame:
+    """Windows of ``days`` days that start every day, as two aggregations in a
+    row: rows to days, closed days to windows.  Only days are repeated ``days``
+    times, and a window's row is written once, when the watermark has passed it
+    (append mode).  Rows with a true ``beat_col`` are heartbeats: they move the
+    watermark and are not counted."""
+    real = F.lit(1) if beat_col is None else F.when(F.col(beat_col), 0).otherwise(1)
+    rows = df.withColumn(ts_col, F.col(ts_col).cast("timestamp")).withColumn("_real", real).withWatermark(ts_col, watermark)
+    daily = rows.groupBy(F.window(ts_col, "1 day").alias("day"), group_col).agg(F.sum("_real").alias("n"))
+    return (daily.groupBy(F.window(F.window_time("day"), f"{days} days", "1 day").alias("w"), group_col)
+            .agg(F.sum("n").alias("n")).filter("n > 0")
+            .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), group_col, "n"))
+
+
+def heartbeat(spark: SparkSession, folder: str, schema, ts_col: str, at, beat_col: str) -> None:
+    """Write a row that is nothing but a time, as a new file of a stream's
+    ``folder``: what came before ``at`` less the watermark can be closed."""
+    row = spark.createDataFrame([(at,)], "t timestamp").select(*[
+        F.col("t").cast(f.dataType).alias(f.name) if f.name == ts_col else F.lit(True).alias(f.name) if f.name == beat_col
+        else F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+    row.coalesce(1).write.mode("append").parquet(folder)
+
+
 def stream_folder(spark: SparkSession, name: str) -> tuple[str, str]:
     """(output, checkpoint) folders for one stream run in the shared folder."""
     base = scratch_path(spark, name)
