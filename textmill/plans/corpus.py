@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from textmill.functions.text import tokenize
 from textmill.operators.dedup import dedup_keep_first
-from textmill.operators.filters import API_MAX_CHARS, MIN_CHARS_EXCLUSIVE, drop_null_text, length_band
+from textmill.operators.filters import API_MAX_CHARS, MIN_CHARS_EXCLUSIVE, drop_null_text, length_band, not_blocked_source
 from textmill.operators.language import filter_languages
 from textmill.operators.ngrams import Profiles, keep_languages, learn_profiles
 from textmill.sources.stopwords import topic_stop_words
@@ -30,6 +30,7 @@ class Preset:
     max_chars_inclusive: int | None = None
     strip_boilerplate: bool = False
     optimize_k: bool = False
+    blocked_sources: tuple[str, ...] = ()  # P8, off in both scripts
 
 
 API_PRESET = Preset(max_chars_inclusive=API_MAX_CHARS, optimize_k=True)
@@ -49,6 +50,8 @@ def prepare_articles(df: DataFrame, preset: Preset = PAGE_PRESET, languages: Seq
     """
     stop = list(stop_words) if stop_words is not None else topic_stop_words()
     df = drop_null_text(df, text_col)
+    if preset.blocked_sources:
+        df = not_blocked_source(df, "source", preset.blocked_sources)
     order = [c for c in ("batch_stamp", "doc_id") if c in df.columns] or [c for c in df.columns if c != text_col]
     df = length_band(df, text_col, preset.min_chars_exclusive, preset.max_chars_inclusive)
     df = dedup_keep_first(df, text_col, order)

@@ -7,23 +7,30 @@ k-means ones are model fits and are checked on row counts and invariants.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from textmill.operators import clusters as cl
 from textmill.operators.terms import TOP_KEYWORDS, tfidf
 from textmill.plans.catalog import register
+from textmill.plans.corpus import PAGE_PRESET
 from textmill.plans.q_terms import _terms_corpus, _terms_cte
 from textmill.session import written
 from textmill.sources.tables import table
 
 
-def _vectors_and_labels(spark, sf_dir):
+def _vectors_and_labels(spark, sf_dir, reuse=False):
+    """TF-IDF rows and given clusters; ``reuse`` writes the rows, for plans that
+    read them from several branches."""
     from textmill.session import materialize
 
     # Terms and labels come from one materialised corpus, so the text
     # pipeline runs once for the vectors and the assignment.
     docs = materialize(_terms_corpus(spark, sf_dir))
     vec = tfidf(docs, reuse_input=False)
+    if reuse:
+        vec = materialize(vec)
     assign = docs.select("doc_id", F.col("source").alias("cluster"))
     return vec, assign
 
@@ -146,7 +153,7 @@ def q_topic_wide(spark, sf_dir):
     f"WITH {_vec_cte()}, {_STATS} SELECT doc_id, cluster, round(sqrt(greatest({_D2}, 0)), 6) AS distance "
     f"FROM st"))
 def q_centroid_distances(spark, sf_dir):
-    vec, assign = _vectors_and_labels(spark, sf_dir)
+    vec, assign = _vectors_and_labels(spark, sf_dir, reuse=True)
     d = cl.centroid_distances(vec, assign)
     return d.select("doc_id", "cluster", F.round("distance", 6).alias("distance"))
 
@@ -155,13 +162,13 @@ def q_centroid_distances(spark, sf_dir):
     f"WITH {_vec_cte()}, {_STATS} SELECT round(sum(greatest({_D2}, 0)), 6) AS inertia FROM st "
     f"WHERE cluster = own"))
 def q_inertia(spark, sf_dir):
-    vec, assign = _vectors_and_labels(spark, sf_dir)
+    vec, assign = _vectors_and_labels(spark, sf_dir, reuse=True)
     return cl.inertia(vec, assign).select(F.round("inertia", 6).alias("inertia"))
 
 
 @register("silhouette", lambda: _silhouette_sql(_vec_cte()))
 def q_silhouette(spark, sf_dir):
-    vec, assign = _vectors_and_labels(spark, sf_dir)
+    vec, assign = _vectors_and_labels(spark, sf_dir, reuse=True)
     return cl.silhouette(vec, assign).select(F.round("silhouette", 6).alias("silhouette"))
 
 
@@ -217,20 +224,16 @@ def _model_inputs(spark, sf_dir):
     return docs, vec, kmeans_input(feats.select("doc_id", "features"), n), n
 
 
-def _fit(spark, sf_dir, k=None):
-    """The corpus, its TF-IDF rows, the fitted model and its assignment.  ``k`` is a number, None for the
-    default of 60, or ``"best"`` for the sweep's best (the presets'
-    ``optimize_k``).  A table of fewer documents than k has one cluster less
-    than documents."""
-    from textmill.operators.kmeans import NUM_CLUSTERS, assign_clusters, best_k, fit_kmeans, k_sweep
+def _fit(spark, sf_dir, preset=PAGE_PRESET):
+    """The corpus, its TF-IDF rows, the fitted model and its assignment.  The
+    preset says whether k is the sweep's best or 60.  A table of fewer documents
+    than k has one cluster less than documents."""
+    from textmill.operators.kmeans import assign_clusters, fit_kmeans, number_of_clusters
 
     from textmill.session import materialize
 
     docs, vec, feats, n = _model_inputs(spark, sf_dir)
-    if k == "best":
-        sweep = spark.createDataFrame(k_sweep(feats), "k int, silhouette double, inertia double")
-        k = best_k(sweep).first().k
-    model = fit_kmeans(feats, min(k or NUM_CLUSTERS, max(n - 1, 1)))
+    model = fit_kmeans(feats, min(number_of_clusters(feats, preset.optimize_k), max(n - 1, 1)))
     # The assignment feeds sizes, centroids, distances and points; writing it
     # once keeps the model's prediction (which carries all k dense centres)
     # out of every later stage.
@@ -288,7 +291,7 @@ def q_kmeans_topics(spark, sf_dir):
 @register("kmeans_sizes_best_k")
 def q_kmeans_sizes_best_k(spark, sf_dir):
     """M5 -> M1: documents per cluster at the k the sweep finds best."""
-    _docs, _vec, _model, assign = _fit(spark, sf_dir, "best")
+    _docs, _vec, _model, assign = _fit(spark, sf_dir, replace(PAGE_PRESET, optimize_k=True))
     return cl.cluster_sizes(assign)
 
 

@@ -92,6 +92,18 @@ def q_day_split_counts(spark, sf_dir):
 
 # -- S8 high-water mark, P9 since cut-off ----------------------------------------
 
+@register("high_water_mark_listing", lambda: f"SELECT max({_BATCH_SQL}) AS last_stamp FROM events")
+def q_high_water_mark_listing(spark, sf_dir):
+    """S8 from the names of written batches alone."""
+    from textmill.session import scratch_path
+    from textmill.sources.batches import write_batches
+    from textmill.sources.results import latest_batch
+
+    path = scratch_path(spark, "batches")
+    write_batches(_event_batches(spark, sf_dir, "event_id", "ts").withColumnRenamed("batch_stamp", "batch_name"), path)
+    return latest_batch(spark, path)
+
+
 @register("high_water_mark", lambda: (
     f"SELECT coalesce(max({_BATCH_SQL}), '{AS_OF - timedelta(days=7):%Y-%m-%dT%H%M%S}') AS last_stamp, "
     f"strftime(strptime(coalesce(max({_BATCH_SQL}), '{AS_OF - timedelta(days=7):%Y-%m-%dT%H%M%S}'), "

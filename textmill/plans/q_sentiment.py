@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 from textmill.functions.text import sentiment_tokens, title_of
 from textmill.operators import sentiment as nb
 from textmill.operators.dedup import dedup_keep_first
+from textmill.operators.filters import category_is
 from textmill.operators.language import filter_languages
 from textmill.plans.catalog import register
-from textmill.plans.sqltext import dedup_sql, language_sql, sentiment_tokens_sql
+from textmill.plans.sqltext import language_sql, lit, sentiment_tokens_sql
 from textmill.sources.articles import SENTIMENT_LABELS
 from textmill.sources.stopwords import stop_words
 from textmill.session import written
@@ -158,21 +159,40 @@ def q_nb_informative(spark, sf_dir):
     return nb.informative_features(model, stats, 10, LABELS)
 
 
-def _titles_sql() -> str:
+def _titles_sql(category: str | None = None) -> str:
+    chosen = "SELECT doc_id, text, source FROM documents WHERE text IS NOT NULL" + (
+        f" AND lower(source) = {lit(category.lower())}" if category else "")
     return (f"WITH {_model_cte()}, "
-            f"ti AS (SELECT doc_id, split_part(text, chr(10), 1) AS title FROM {dedup_sql()} "
+            f"ti AS (SELECT doc_id, split_part(text, chr(10), 1) AS title FROM "
+            f"(SELECT doc_id, text FROM ({chosen}) QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1) "
             f"WHERE {language_sql('text')} = 'en'), "
             f"tt AS (SELECT doc_id, list_distinct({sentiment_tokens_sql('title')}) AS toks FROM ti), "
             f"{_scores_cte('tt')} SELECT ti.doc_id, ti.title, {_prediction_sql()} AS sentiment "
             f"FROM sc JOIN ti ON sc.doc_id = ti.doc_id")
 
 
+#: The category of the registered query (P5); ``documents`` has sources for categories.
+TITLE_CATEGORY = "SRC3"
+
+
 @register("score_titles", _titles_sql)
 def q_score_titles(spark, sf_dir):
     """N3 + S10: titles of the deduplicated English articles with a label."""
+    return _scored_titles(spark, sf_dir)
+
+
+@register("score_titles_category", lambda: _titles_sql(TITLE_CATEGORY))
+def q_score_titles_category(spark, sf_dir):
+    """N3 + P5: the same for the articles of one category."""
+    return _scored_titles(spark, sf_dir, TITLE_CATEGORY)
+
+
+def _scored_titles(spark, sf_dir, category=None):
     tr, _ = _split(spark, sf_dir)
     model, stats = nb.train(tr, "tokens", LABELS)
-    docs = table(spark, sf_dir, "documents", "doc_id", "text").filter(F.col("text").isNotNull())
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "source").filter(F.col("text").isNotNull())
+    if category is not None:
+        docs = category_is(docs, category, "source")
     arts = filter_languages(dedup_keep_first(docs, "text", ["doc_id"]), ["en"], "text")
     # Written once: the titles are read again beside their scores.
     titles = written(arts.select("doc_id", title_of("text").alias("title")), "titles")

@@ -57,6 +57,22 @@ def q_keywords_by_group(spark, sf_dir):
     return keywords_by_group(article_corpus(spark, sf_dir), "source", TOP_KEYWORDS)
 
 
+@register("keywords_reused", _keywords_sql)
+def q_keywords_reused(spark, sf_dir):
+    """The keywords stored once, then read again without their input."""
+    from textmill.session import scratch_path
+    from textmill.sources.results import ResultStore
+
+    store = ResultStore(spark, scratch_path(spark, "results"))
+
+    def ask():
+        return store.get("keywords", [f"{sf_dir}/documents.parquet"], {"top": TOP_KEYWORDS, "group": "source"},
+                         lambda: q_keywords_by_group(spark, sf_dir))
+
+    ask()
+    return ask()
+
+
 def _api_keywords_sql() -> str:
     return (f"WITH c AS ({corpus_sql(max_chars=API_MAX_CHARS)}), "
             f"x AS (SELECT source, unnest(tokens) AS token FROM c), "

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from textmill.operators import html
 from textmill.operators.language import UNDETECTED, WORD_SPLIT, detect_language
-from textmill.operators.filters import not_blocked
+from textmill.operators.filters import fetched_ok, not_blocked
 from textmill.operators.ngrams import detect_by_grams, learn_profiles, profile_frame
 from textmill.plans.catalog import register
 from textmill.plans.sqltext import gram_language_sql, gram_profile_sql, lit, lower_sql
@@ -14,9 +16,11 @@ from textmill.sources.tables import table
 
 @register("page_text")
 def q_page_text(spark, sf_dir):
-    """H1 + H2 + P7: visible text of every fetched page whose host is not blocked."""
-    pages = not_blocked(table(spark, sf_dir, "pages", "page_id", "url", "html"), "url")
-    return html.page_text(pages)
+    """H1 + H2 + P7 + P11: visible text of every fetched page whose host is not
+    blocked.  A page without html stands for a failed fetch."""
+    pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
+    fetched = pages.withColumn("status", F.when(F.col("html").isNull(), "failed").otherwise("ok"))
+    return html.page_text(not_blocked(fetched_ok(fetched), "url"))
 
 
 @register("listing_articles")
@@ -31,6 +35,16 @@ def q_page_links(spark, sf_dir):
     return html.page_links(table(spark, sf_dir, "pages", "page_id", "html"))
 
 
+@register("page_links_lateral")
+def q_page_links_lateral(spark, sf_dir):
+    """2.12: the links by a lateral join with the table function."""
+    from textmill.operators.html_udtf import register_table_functions
+
+    register_table_functions(spark)
+    return spark.sql("SELECT p.page_id, l.* FROM {pages} p, LATERAL page_links(p.html) l",
+                     pages=table(spark, sf_dir, "pages", "page_id", "html"))
+
+
 @register("category_urls")
 def q_category_urls(spark, sf_dir):
     """H4: per page, the first link labelled with each section category."""

@@ -109,6 +109,16 @@ def append_run(df: DataFrame, path: str, at: datetime, fmt: str = "parquet") ->
     return name
 
 
+def append_batch(df: DataFrame, path: str, ts_col: str = "publishedAt", fmt: str = "parquet") -> str | None:
+    """S7 as the collector does it: the batch is named by its newest article and
+    written only if there is one; the name, or None.  ``ts_col`` is a timestamp
+    or ISO text.  ``df`` is read twice; write it first if it is expensive."""
+    newest = df.agg(F.max(F.col(ts_col).cast("timestamp")).alias("at")).select(stamp("at")).first()[0]
+    if newest is not None:
+        df.write.mode("overwrite").format(fmt).save(f"{path.rstrip('/')}/batch_name={newest}")
+    return newest
+
+
 def write_points(points: DataFrame, path: str) -> DataFrame:
     """The point table (or S10: scored titles) as CSV with a header, read
     back with its schema."""
@@ -117,5 +127,5 @@ def write_points(points: DataFrame, path: str) -> DataFrame:
             .option("escape", '"').option("multiLine", "true").csv(path))
 
 
-__all__ = ["CSV_OPTIONS", "STAMP_FORMAT", "append_run", "day_batches", "high_water_mark", "load_window",
+__all__ = ["CSV_OPTIONS", "STAMP_FORMAT", "append_batch", "append_run", "day_batches", "high_water_mark", "load_window",
            "scan_batches", "select_window", "stamp_text", "union_batches", "write_batches", "write_points"]
