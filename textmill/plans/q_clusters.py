@@ -259,6 +259,19 @@ def q_k_sweep(spark, sf_dir):
     return spark.createDataFrame(rows, "k int, silhouette double, inertia double")
 
 
+@register("k_sweep_one_pass")
+def q_k_sweep_one_pass(spark, sf_dir):
+    """M4 with all centres in one table: silhouette and inertia for k = 2..79,
+    every iteration one pass over the vectors for all of them."""
+    from textmill.operators import kmeans_sweep as ks
+    from textmill.operators import kmeans_table as kt
+    from textmill.session import materialize
+
+    docs = materialize(_terms_corpus(spark, sf_dir).select("doc_id", "terms"))
+    vectors, _ = kt.tfidf_vectors(docs)
+    return spark.createDataFrame(ks.k_sweep(vectors, docs.select("doc_id")), "k int, silhouette double, inertia double")
+
+
 @register("best_k")
 def q_best_k(spark, sf_dir):
     """M5: k with the best silhouette (60 when none is positive)."""
