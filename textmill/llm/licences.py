@@ -114,7 +114,7 @@ _NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def _words(text):
-    return F.filter(F.split(F.translate(text, _UPPER, _LOWER), _NOT_WORD), lambda w: w != "")
+    return F.array_remove(F.split(F.translate(text, _UPPER, _LOWER), _NOT_WORD), "")
 
 
 def template_vectors(templates: dict[str, str]) -> tuple[dict[str, dict[str, float]], dict[str, float], float]:
@@ -236,7 +236,13 @@ def own_licences(parts: DataFrame, templates: dict[str, str], threshold: float =
             .filter(F.arrays_overlap("ws", either))
             .select("file", "part", "ws", _once(F.struct(whole.alias("whole"), F.when(has_anchor, held).alias("held"))).alias("x")))
     if rows:
-        ts = F.when(F.size("x.held") > 0, F.filter(passage, lambda t: reaches(t, F.col("x.held"))))
+        # No passage is reached where even the largest share of every held word is too little.
+        most, needed = {}, min(min(i, a) for _, _, i, a, _, _ in rows) ** 2 - 1e-9
+        for *_, shares in rows:
+            for w, x in shares.items():
+                most[w] = max(x, most.get(w, 0.0))
+        bound = F.aggregate("x.held", F.lit(0.0), lambda a, w: a + F.element_at(_literal_map(most), w))
+        ts = F.when((F.size("x.held") > 0) & (bound >= needed), F.filter(passage, lambda t: reaches(t, F.col("x.held"))))
         near = near.select("file", "part", "ws", "x.whole", _once(ts).alias("ts"))
     else:
         near = near.select("file", "part", "ws", "x.whole", F.lit(None).cast("array<string>").alias("ts"))
