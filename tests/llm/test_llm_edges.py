@@ -241,3 +241,34 @@ print("all ran")
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert "all ran" in done.stdout, done.stderr[-2000:]
+
+
+def test_licence_anchors_bound_every_cosine():
+    import random
+
+    from textmill.llm import licences
+
+    rng = random.Random(7)
+    for v, least in ((v, 0.6) for v in licences.template_vectors(licences.TEMPLATES)[0].values()):
+        anchors = set(licences._anchors(v, least))
+        rest = [w for w in v if w not in anchors]
+        # The best text without anchors is the rest of the template itself.
+        assert sum(v[w] ** 2 for w in rest) ** 0.5 < least
+        for _ in range(20):
+            x = {w: rng.random() for w in rest}
+            norm = sum(y * y for y in x.values()) ** 0.5 or 1.0
+            assert sum(x[w] * v[w] for w in x) / norm < least
+
+
+def test_licence_words_are_those_of_the_pattern(spark):
+    import re
+
+    from pyspark.sql import functions as F
+
+    from textmill.llm import licences
+
+    texts = ["".join(map(chr, range(700))) + " \U0001F600x Y", "", " ", "\x00A\x00b", "É_a-B9"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    lower = str.maketrans(licences._UPPER, licences._LOWER)
+    for text, words in df.select("text", licences._words(F.col("text"))).collect():
+        assert words == re.findall(licences._WORD, text.translate(lower))
