@@ -37,6 +37,7 @@ each for their directory; empty tables give no rows; further columns are ignored
 
 from __future__ import annotations
 
+import json
 import re
 from collections import Counter
 from math import log, sqrt
@@ -182,9 +183,14 @@ def _passage_rows(templates: dict[str, str], passages, threshold: float):
     return rows, idf, unknown, sorted(anchors)
 
 
+def _literal(value, schema: str):
+    """A constant of the plan, folded by the optimizer.  One text of JSON is one
+    call to the JVM, where a literal per word takes seconds."""
+    return F.from_json(F.lit(json.dumps(value)), schema)
+
+
 def _literal_map(d: dict[str, float]):
-    return F.map_from_arrays(F.array(*[F.lit(w) for w in d]).cast("array<string>"),
-                             F.array(*[F.lit(x) for x in d.values()]).cast("array<double>"))
+    return _literal(d, "map<string,double>")
 
 
 def _once(value):
@@ -227,14 +233,14 @@ def own_licences(parts: DataFrame, templates: dict[str, str], threshold: float =
     vectors, idf, unknown = template_vectors(templates)
     rows, p_idf, p_unknown, anchors = _passage_rows(templates, passages, threshold)
     spark = parts.sparkSession
-    known = F.array(*[F.lit(w) for w in sorted(idf)]) if idf else F.array().cast("array<string>")
+    known = _literal(sorted(idf), "array<string>")
     own = {w for v in vectors.values() for w in _anchors(v, threshold)}
 
     def has(words):
         words = sorted(words)
         return F.exists("ws", lambda w: w.isin(words)) if words else F.lit(False)
 
-    weights = F.map_from_arrays(known, F.array(*[F.lit(idf[w]) for w in sorted(idf)]).cast("array<double>"))
+    weights = _literal_map(idf)
     ws = F.col("ws")
     # Squared weight of the known words, and the least that the unknown add.
     mass = F.aggregate(F.array_intersect(ws, known), F.lit(0.0), lambda a, w: a + F.pow(
@@ -242,10 +248,10 @@ def own_licences(parts: DataFrame, templates: dict[str, str], threshold: float =
     rest = F.size(F.array_except(ws, known)) * (unknown * unknown)
     whole = has(own) & (mass >= (threshold * threshold - SLACK) * (mass + rest))
     # A cosine of c with a passage needs c * c of the passage's squared weight.
-    passage = F.array(*[F.struct(F.lit(k).alias("licence"), F.lit(n).alias("n"), F.lit(i).alias("inside"), F.lit(a).alias("alone"),
-                                 _literal_map(dots).alias("dots"), _literal_map(shares).alias("shares"))
-                        for k, n, i, a, dots, shares in rows])
-    held = F.array_intersect(ws, F.array(*[F.lit(w) for w in p_idf]).cast("array<string>"))
+    fields = {"licence": "string", "n": "int", "inside": "double", "alone": "double",
+              "dots": "map<string,double>", "shares": "map<string,double>"}
+    passage = _literal([dict(zip(fields, row)) for row in rows], f"array<struct<{','.join(f'{k}:{t}' for k, t in fields.items())}>>")
+    held = F.array_intersect(ws, _literal(list(p_idf), "array<string>"))
 
     def reaches(t, words):
         share = F.aggregate(words, F.lit(0.0), lambda a, w: a + F.coalesce(F.element_at(t["shares"], w), F.lit(0.0)))
