@@ -272,3 +272,54 @@ def test_licence_words_are_those_of_the_pattern(spark):
     lower = str.maketrans(licences._UPPER, licences._LOWER)
     for text, words in df.select("text", licences._words(F.col("text"))).collect():
         assert words == re.findall(licences._WORD, text.translate(lower))
+
+
+def _brute_licence(text, templates, passages, threshold):
+    """The best (licence, score) of one part, every window of every passage scored."""
+    import re
+    from collections import Counter
+
+    def words(t):
+        return re.findall(L._WORD, t.translate(str.maketrans(L._UPPER, L._LOWER)))
+
+    def cosine(window, vector, idf, unknown):
+        bag = {w: n * idf.get(w, unknown) for w, n in Counter(window).items()}
+        norm = sum(x * x for x in bag.values()) ** 0.5
+        return round(sum(x * vector.get(w, 0.0) for w, x in bag.items()) / norm, 6) if norm else 0.0
+
+    ws, found = words(text), []
+    vectors, idf, unknown = L._vectors(templates)
+    for k, v in vectors.items():
+        found.append((False, -cosine(ws, v, idf, unknown), 0, k, threshold))
+    texts = [*templates.items(), *passages]
+    vectors, idf, unknown = L._vectors({str(i): t for i, (_, t) in enumerate(texts)})
+    for i, (k, t) in enumerate(texts):
+        n, v, tag = len(words(t)), vectors[str(i)], t.startswith("SPDX-License-Identifier:")
+        if len(ws) > n:
+            windows, least = [ws[p:p + n] for p in range(len(ws)) if ws[p] in v], 1 - 1e-6 if tag else L.WITHIN
+        else:
+            windows, least = [ws], 2.0 if i < len(templates) else 1 - 1e-6 if tag else threshold
+        found += [(k == L.RESERVED, -cosine(w, v, idf, unknown), -n, k, least) for w in windows]
+    best = min((f for f in found if -f[1] >= f[4] and f[1] < 0), default=None)
+    return best and (best[3], -best[1])
+
+
+def test_licence_passages_are_those_of_every_window(spark):
+    """Bounds and anchors lose nothing: random parts, passages with words dropped,
+    replaced and put between other words, against all windows scored in Python."""
+    import random
+
+    rnd = random.Random(5)
+    pool = sorted({w for _, t in (*L.TEMPLATES.items(), *L.PASSAGES) for w in t.split()}) + ["Zebra", "é", "of", "lorem", "x1"]
+    texts = [*L.TEMPLATES.values(), *(t for _, t in L.PASSAGES), "", " .,"]
+    for t in [*L.TEMPLATES.values(), *(t for _, t in L.PASSAGES)] * 2:
+        ws = [rnd.choice(pool) if rnd.random() < 0.12 else w for w in t.split() if rnd.random() > 0.1]
+        texts.append(" ".join([*rnd.choices(pool, k=rnd.choice((0, 3, 40))), *ws, *rnd.choices(pool, k=rnd.choice((0, 2, 60)))]))
+    parts = spark.createDataFrame(list(enumerate(texts)), "file long, text string").selectExpr("file", "0 as part", "text")
+    got = {r.file: (r.licence, r.score) for r in L.own_licences(parts, L.TEMPLATES, L.THRESHOLD, L.PASSAGES).collect()}
+    want = {i: _brute_licence(t, L.TEMPLATES, L.PASSAGES, L.THRESHOLD) for i, t in enumerate(texts)}
+    want = {i: b for i, b in want.items() if b}
+    assert got.keys() == want.keys() and len(want) > 100
+    for i, (licence, score) in want.items():
+        assert abs(got[i][1] - score) < 2e-6, texts[i]
+        assert got[i][0] == licence or abs(got[i][1] - score) > 0, texts[i]

@@ -163,7 +163,7 @@ def _passage_rows(templates: dict[str, str], passages, threshold: float):
     """(rows, {word: idf}, idf of an unknown word, words of which every part
     that can reach a passage has one).  A row is (licence, number of words, least
     cosine in a longer part, least of a part no longer, {word: idf * weight},
-    {word: squared weight})."""
+    squared weights in the order of {word: idf})."""
     if len(passages) > MAX_TEMPLATES or sum(len(t) for _, t in passages) > MAX_CHARS:
         raise ValueError(f"more than {MAX_TEMPLATES} passages or {MAX_CHARS} characters")
     texts = [*templates.items(), *passages]
@@ -178,7 +178,7 @@ def _passage_rows(templates: dict[str, str], passages, threshold: float):
         inside = 1 - 1e-6 if tag else max(threshold, WITHIN)
         # Notices are scored by whole parts already, where those are no longer.
         alone = 2.0 if i < len(templates) else 1 - 1e-6 if tag else threshold
-        rows.append((licence, n, inside, alone, {w: idf[w] * x for w, x in v.items()}, {w: x * x for w, x in v.items()}))
+        rows.append((licence, n, inside, alone, {w: idf[w] * x for w, x in v.items()}, [v.get(w, 0.0) ** 2 for w in idf]))
         anchors.update(_anchors(v, min(inside, alone)))
     return rows, idf, unknown, sorted(anchors)
 
@@ -193,6 +193,12 @@ def _literal_map(d: dict[str, float]):
     return _literal(d, "map<string,double>")
 
 
+def _among(xs, words):
+    """The different items of ``xs`` that are in ``words``: a look into a set made
+    once, which array functions build again for every row."""
+    return F.array_distinct(F.filter(xs, lambda x: x.isin(sorted(words))))
+
+
 def _once(value):
     """``value`` as a generated column, so that no filter on it repeats its work."""
     return F.explode_outer(F.array(value))
@@ -206,21 +212,21 @@ def _passages_found(near: DataFrame, idf: dict[str, float], unknown: float) -> D
     total = lambda xs: F.aggregate(xs, zero, lambda a, x: a + x)
     n = F.col("t.n")
     least = F.when(F.size("ws") > n, F.col("t.inside")).otherwise(F.col("t.alone"))
-    laid = near.select("file", "ws", F.explode("ts").alias("t")).select("file", "ws", "t", least.alias("least"), _once(F.struct(
-        F.transform("ws", lambda w: F.coalesce(F.element_at(F.col("t.dots"), w), zero)).alias("dots"),
-        F.transform("ws", lambda w: F.pow(weight(w), F.lit(2.0))).alias("squares"))).alias("x"))
+    weighed = near.select("file", "ws", "ts", _once(F.transform("ws", lambda w: F.pow(weight(w), F.lit(2.0)))).alias("squares"))
+    laid = weighed.select("file", "ws", "squares", F.explode("ts").alias("t")).select("file", "ws", "squares", "t", least.alias("least"), _once(
+        F.transform("ws", lambda w: F.coalesce(F.element_at(F.col("t.dots"), w), zero))).alias("dots"))
 
     def promising(p):
         # A repeated word adds more to the norm than its squares.
-        low = total(F.slice(F.col("x.squares"), p, n))
-        return ((F.size("ws") <= n) | (F.element_at(F.col("x.dots"), p) > 0)) & (
-            total(F.slice(F.col("x.dots"), p, n)) >= (F.col("least") - SLACK) * F.sqrt(low))
+        low = total(F.slice(F.col("squares"), p, n))
+        return ((F.size("ws") <= n) | (F.element_at(F.col("dots"), p) > 0)) & (
+            total(F.slice(F.col("dots"), p, n)) >= (F.col("least") - SLACK) * F.sqrt(low))
 
     def score(p):
         window = F.slice("ws", p, n)
         norm = F.aggregate(F.array_distinct(window), zero, lambda a, w: a + F.pow(
             weight(w) * F.size(F.filter(window, lambda y: y == w)), F.lit(2.0)))
-        return F.round(total(F.slice(F.col("x.dots"), p, n)) / F.sqrt(norm), 6)
+        return F.round(total(F.slice(F.col("dots"), p, n)) / F.sqrt(norm), 6)
 
     starts = F.filter(F.sequence(F.lit(1), F.when(F.size("ws") > n, F.size("ws")).otherwise(1)), promising)
     best = laid.select("file", "t", "least", _once(F.array_max(F.transform(starts, score))).alias("score"))
@@ -233,7 +239,6 @@ def own_licences(parts: DataFrame, templates: dict[str, str], threshold: float =
     vectors, idf, unknown = template_vectors(templates)
     rows, p_idf, p_unknown, anchors = _passage_rows(templates, passages, threshold)
     spark = parts.sparkSession
-    known = _literal(sorted(idf), "array<string>")
     own = {w for v in vectors.values() for w in _anchors(v, threshold)}
 
     def has(words):
@@ -243,31 +248,34 @@ def own_licences(parts: DataFrame, templates: dict[str, str], threshold: float =
     weights = _literal_map(idf)
     ws = F.col("ws")
     # Squared weight of the known words, and the least that the unknown add.
-    mass = F.aggregate(F.array_intersect(ws, known), F.lit(0.0), lambda a, w: a + F.pow(
+    mass = F.aggregate(_among(ws, idf), F.lit(0.0), lambda a, w: a + F.pow(
         F.element_at(weights, w) * F.size(F.filter(ws, lambda x: x == w)), F.lit(2.0)))
-    rest = F.size(F.array_except(ws, known)) * (unknown * unknown)
+    strange = F.array_distinct(F.filter(ws, lambda x: ~x.isin(sorted(idf))))
+    rest = F.size(strange) * (unknown * unknown)
     whole = has(own) & (mass >= (threshold * threshold - SLACK) * (mass + rest))
     # A cosine of c with a passage needs c * c of the passage's squared weight.
     fields = {"licence": "string", "n": "int", "inside": "double", "alone": "double",
-              "dots": "map<string,double>", "shares": "map<string,double>"}
-    passage = _literal([dict(zip(fields, row)) for row in rows], f"array<struct<{','.join(f'{k}:{t}' for k, t in fields.items())}>>")
-    held = F.array_intersect(ws, _literal(list(p_idf), "array<string>"))
+              "dots": "map<string,double>", "shares": "array<double>",
+              "inside_share": "double", "alone_share": "double"}
+    passage = _literal([dict(zip(fields, (*row, row[2] ** 2 - SLACK, row[3] ** 2 - SLACK))) for row in rows], f"array<struct<{','.join(f'{k}:{t}' for k, t in fields.items())}>>")
+    # The words of passages that a part holds, as their numbers: passages find their shares by place.
+    numbers = _literal({w: i for i, w in enumerate(p_idf)}, "map<string,int>")
+    held = F.transform(_among(ws, p_idf), lambda w: F.element_at(numbers, w))
 
     def reaches(t, words):
-        share = F.aggregate(words, F.lit(0.0), lambda a, w: a + F.coalesce(F.element_at(t["shares"], w), F.lit(0.0)))
-        least = F.when(F.size(ws) > t["n"], t["inside"]).otherwise(t["alone"])
-        return share >= least * least - SLACK
+        share = F.aggregate(words, F.lit(0.0), lambda a, w: a + F.get(t["shares"], w))
+        return share >= F.when(F.size(ws) > t["n"], t["inside_share"]).otherwise(t["alone_share"])
 
     near = (parts.select("file", "part", _once(_words(F.col("text"))).alias("ws"))
             .filter(has({*own, *anchors}))
             .select("file", "part", "ws", _once(F.struct(whole.alias("whole"), F.when(has(anchors), held).alias("held"))).alias("x")))
     if rows:
-        # No passage is reached where even the largest share of every held word is too little.
-        most, needed = {}, min(min(i, a) for _, _, i, a, _, _ in rows) ** 2 - SLACK
-        for *_, shares in rows:
-            for w, x in shares.items():
-                most[w] = max(x, most.get(w, 0.0))
-        bound = F.aggregate("x.held", F.lit(0.0), lambda a, w: a + F.element_at(_literal_map(most), w))
+        # No passage is reached where even the largest share of every held word is too little;
+        # parts longer than all passages need the share of a window inside.
+        most = _literal([max(x) for x in zip(*(shares for *_, shares in rows))], "array<double>")
+        inside, either = (min(xs) ** 2 - SLACK for xs in ([i for _, _, i, *_ in rows], [min(i, a) for _, _, i, a, *_ in rows]))
+        needed = F.when(F.size(ws) > max(n for _, n, *_ in rows), inside).otherwise(either)
+        bound = F.aggregate("x.held", F.lit(0.0), lambda a, w: a + F.get(most, w))
         ts = F.when((F.size("x.held") > 0) & (bound >= needed), F.filter(passage, lambda t: reaches(t, F.col("x.held"))))
         near = near.select("file", "part", "ws", "x.whole", _once(ts).alias("ts"))
     else:
