@@ -52,7 +52,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     conf = dict(SESSION_DEFAULTS)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-        conf["textmill.scan.partitions"] = str(shuffle_partitions)
+        conf["spark.textmill.scan.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -109,9 +109,9 @@ def written(df: DataFrame, name: str = "table") -> DataFrame:
 
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Deal rows out by their unique id before per-row text work, where the
-    session asks for it with ``textmill.scan.partitions``: for tables stored
+    session asks for it with ``spark.textmill.scan.partitions``: for tables stored
     as fewer splits than there are cores.  Unset, nothing is shuffled."""
-    n = df.sparkSession.conf.get("textmill.scan.partitions", None)
+    n = df.sparkSession.conf.get("spark.textmill.scan.partitions", None)
     return df.repartition(int(n), key) if n else df
 
 
