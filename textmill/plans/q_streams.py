@@ -20,8 +20,9 @@ from textmill.streaming.history import TextHistory, dedup_against_history
 def _source(spark, sf_dir, name, *cols):
     path = os.path.join(sf_dir, f"{name}.parquet")
     schema = spark.read.parquet(path).schema
-    # A file source watches a folder; the glob filter picks the table's files.
-    stream = ingest.read_stream(spark, sf_dir, schema, options={"pathGlobFilter": f"{name}.parquet"})
+    # A file source watches a folder or a glob; this one names the table only,
+    # be it a file or a folder of part files.
+    stream = ingest.read_stream(spark, os.path.join(sf_dir, f"{name}.parque[t]"), schema)
     return stream.select(*cols) if cols else stream
 
 
