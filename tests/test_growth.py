@@ -1,5 +1,7 @@
 """What must not grow with the tables: parts, files and memory of one task."""
 
+import os
+
 from textmill.plans import q_streams
 from textmill.streaming import ingest
 
@@ -14,3 +16,21 @@ def test_a_stream_reads_a_table_that_is_a_folder_of_files(spark, tmp_path):
     out, ckpt = ingest.stream_folder(spark, "folder")
     ingest.run_to_table(q_streams._source(spark, str(tmp_path), "documents", "doc_id"), out, ckpt)
     assert sorted(r.doc_id for r in spark.read.parquet(out).collect()) == list(range(9))
+
+
+def test_arriving_files_are_bounded_and_come_in_four_batches(spark, tmp_path, monkeypatch):
+    spark.createDataFrame([(i, f"text {i % 150}") for i in range(400)], DOCS).write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(q_streams, "ARRIVAL_ROWS", 50, raising=False)
+    streams = []
+    real = ingest.read_stream
+
+    def read(spark, path, *a, **k):
+        streams.append((path, k.get("max_files_per_trigger")))
+        return real(spark, path, *a, **k)
+
+    monkeypatch.setattr(ingest, "read_stream", read)
+    out = q_streams.q_stream_dedup_history(spark, str(tmp_path))
+    assert sorted(r.text for r in out.collect()) == sorted(f"text {i}" for i in range(150))
+    (path, per_batch), = streams
+    files = [f for f in os.listdir(path.removeprefix("file:")) if f.startswith("part-")]
+    assert per_batch == 2 and len(files) == 8

@@ -81,6 +81,10 @@ def q_stream_weekly_sliding(spark, sf_dir):
     return spark.read.schema(schema).parquet(out)
 
 
+#: Documents of an arriving file.
+ARRIVAL_ROWS = 25_000
+
+
 @register("stream_dedup_history", lambda: "SELECT DISTINCT text FROM documents WHERE text IS NOT NULL")
 def q_stream_dedup_history(spark, sf_dir):
     """T2 + A5: documents arriving in several files, each batch deduplicated
@@ -88,9 +92,11 @@ def q_stream_dedup_history(spark, sf_dir):
     out, ckpt = ingest.stream_folder(spark, "stream_history")
     arrivals = f"{out}-arrivals"
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    docs.repartitionByRange(4, "doc_id").write.parquet(arrivals)
+    # Files of bounded size, a quarter of them at a time.
+    files = 4 * max(1, -(-docs.count() // (4 * ARRIVAL_ROWS)))
+    docs.repartitionByRange(files, "doc_id").write.parquet(arrivals)
     history = TextHistory(spark, f"{out}-history")
-    stream = ingest.read_stream(spark, arrivals, docs.schema, max_files_per_trigger=1)
+    stream = ingest.read_stream(spark, arrivals, docs.schema, max_files_per_trigger=files // 4)
     ingest.run_each_batch(stream, dedup_against_history(history, out, "text", ["doc_id"]), ckpt)
     return spark.read.schema(docs.schema).parquet(out).select("text")
 
