@@ -1,7 +1,9 @@
 """What must not grow with the tables: parts, files and memory of one task."""
 
+import math
 import os
 
+from textmill.operators import terms
 from textmill.plans import q_streams
 from textmill.streaming import ingest
 
@@ -34,3 +36,34 @@ def test_arriving_files_are_bounded_and_come_in_four_batches(spark, tmp_path, mo
     (path, per_batch), = streams
     files = [f for f in os.listdir(path.removeprefix("file:")) if f.startswith("part-")]
     assert per_batch == 2 and len(files) == 8
+
+
+def test_term_counts_are_taken_inside_the_row(spark, monkeypatch):
+    """No (document, term) row is shuffled or held in a table of a task; repeated
+    and null ids are one document, in whatever part."""
+    monkeypatch.setattr(terms, "PART_ROWS", 3, raising=False)
+    rows = [(1, ["a", "b", "a"]), (1, ["a"]), (None, ["a", "c"]), (None, ["c", None]), (5, []), (6, None)]
+    rows += [(i, ["a", f"x{i % 3}", f"x{i % 3}"]) for i in range(10, 30)]
+    docs = spark.createDataFrame(rows, "doc_id long, terms array<string>")
+    for frame in (terms.term_frequencies(docs), terms.tfidf(docs, min_df=2)):
+        assert "term" not in " ".join(x for x in plan(frame).split("\n") if "HashAggregate" in x or "rangepartitioning" in x)
+    count, df = {}, {}
+    for d, ts in rows:
+        for t in ts or ():
+            if t is not None:
+                count[d, t] = count.get((d, t), 0) + 1
+        for t in set(ts or ()) - {None}:
+            df[t] = df.get(t, 0) + 1
+    assert {(r.doc_id, r.term): r.tf for r in terms.term_frequencies(docs).collect()} == count
+    want = {(d, t): n * (math.log((len(rows) + 1) / (df[t] + 1)) + 1) for (d, t), n in count.items() if df[t] >= 2}
+    norm = {}
+    for (d, _), w in want.items():
+        norm[d] = norm.get(d, 0) + w * w
+    got = {(r.doc_id, r.term): r.weight for r in terms.tfidf(docs, min_df=2).collect()}
+    assert got.keys() == want.keys()
+    assert all(math.isclose(got[k], w / math.sqrt(norm[k[0]]), rel_tol=1e-12) for k, w in want.items())
+    assert terms.tfidf(docs.limit(0)).count() == 0
+
+
+def plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
