@@ -2,6 +2,7 @@
 
 import math
 import os
+import random
 
 from textmill.operators import terms
 from textmill.plans import q_streams
@@ -67,3 +68,38 @@ def test_term_counts_are_taken_inside_the_row(spark, monkeypatch):
 
 def plan(frame):
     return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_registered_kmeans_fits_nothing_on_the_driver(spark, monkeypatch):
+    from pyspark.ml.clustering import KMeans
+    from textmill.plans import q_clusters
+
+    def fails(*_):
+        raise AssertionError("MLlib keeps k dense centres on the driver")
+
+    monkeypatch.setattr(KMeans, "_fit", fails)
+    words = [f"{a}{b}" for a in "bcdfg" for b in "aeiou"]
+    rows = [(i % 38, "s", "c", f"h{i}", [words[(5 * (i % 4) + j) % 25] for j in range(5)]) for i in range(40)] + [(None, "s", "c", "n", [])]
+    corpus = spark.createDataFrame(rows, "doc_id long, source string, category string, description string, tokens array<string>")
+    monkeypatch.setattr("textmill.plans.corpus.article_corpus", lambda *_: corpus)
+    assert sum(r.n for r in q_clusters.q_kmeans_sizes(spark, "").collect()) >= 40
+    docs, _, model, assign = q_clusters._fit(spark, "")
+    assert docs.count() == 41 and assign.select("cluster").distinct().count() > 3
+    assert sorted({r.doc_id for r in assign.filter("doc_id is not null").collect()}) == list(range(38))
+
+
+def test_a_fit_keeps_the_centres_of_its_last_round_only(spark):
+    from textmill import session
+    from textmill.operators import kmeans_sweep, kmeans_table
+    from test_kmeans_table import frames, unit_rows
+
+    def kept(name):
+        return sum(f.startswith(name) for f in os.listdir(session._scratch_root(spark).removeprefix("file:")))
+
+    vectors, docs = frames(spark, unit_rows(random.Random(5), 4, 30))
+    before = kept("sums-")
+    _, model = kmeans_table.fit(vectors, docs, 3, max_iter=4, tol=-1)
+    assert model.iterations == 4 and model.sums.count() > 0 and kept("sums-") - before <= 2
+    before = kept("sweep-sums-")
+    kmeans_sweep.k_sweep(vectors, docs, [2, 3], max_iter=4, tol=-1)
+    assert kept("sweep-sums-") - before <= 2
