@@ -103,3 +103,24 @@ def test_a_fit_keeps_the_centres_of_its_last_round_only(spark):
     before = kept("sweep-sums-")
     kmeans_sweep.k_sweep(vectors, docs, [2, 3], max_iter=4, tol=-1)
     assert kept("sweep-sums-") - before <= 2
+
+
+def test_the_k_sweeps_fit_nothing_on_the_driver(spark, monkeypatch):
+    from pyspark.ml.clustering import KMeans
+    from textmill.plans import q_clusters
+
+    def fails(*_):
+        raise AssertionError("MLlib keeps k dense centres on the driver")
+
+    monkeypatch.setattr(KMeans, "_fit", fails)
+    words = [f"{a}{b}" for a in "bcdfg" for b in "aeiou"]
+    rows = [(i % 7, "s", "c", f"h{i}", [words[8 * (i % 3) + j] for j in range(8)]) for i in range(21)] + [(None, "s", "c", "n", [])]
+    corpus = spark.createDataFrame(rows, "doc_id long, source string, category string, description string, tokens array<string>")
+    monkeypatch.setattr("textmill.plans.corpus.article_corpus", lambda *_: corpus)
+    sweep = {r.k: r for r in q_clusters.q_k_sweep(spark, "").collect()}
+    assert sorted(sweep) == list(range(2, 80))
+    assert all((sweep[k].silhouette is None) == (sweep[k].inertia is None) == (k >= 22) for k in sweep)
+    best = max((r for r in sweep.values() if r.silhouette is not None), key=lambda r: (r.silhouette, -r.k))
+    assert q_clusters.q_best_k(spark, "").first().k == best.k
+    sizes = q_clusters.q_kmeans_sizes_best_k(spark, "").collect()
+    assert sum(r.n for r in sizes) >= 22 and len(sizes) <= best.k
